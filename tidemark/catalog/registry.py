@@ -18,24 +18,24 @@ ORACLES: dict[str, str] = {}
 PLACES = 6
 
 
-def flat(df: DataFrame) -> DataFrame:
-    """Comparable output: doubles to six places, timestamps without zone."""
+def flat(df: DataFrame, places: int = PLACES) -> DataFrame:
+    """Comparable output: doubles to a number of places, timestamps without zone."""
     columns = []
     for name, kind in df.dtypes:
         c = F.col(f"`{name}`")
         if kind in ("double", "float"):
-            c = F.round(c.cast("double"), PLACES)
+            c = F.round(c.cast("double"), places)
         elif kind == "timestamp":
             c = c.cast("timestamp_ntz")
         columns.append(c.alias(name))
     return df.select(*columns)
 
 
-def query(name: str, sql: str | None = None):
+def query(name: str, sql: str | None = None, places: int = PLACES):
     def register(fn: Query) -> Query:
         @wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return flat(fn(tune(spark), sf_dir))
+            return flat(fn(tune(spark), sf_dir), places)
 
         QUERIES[name] = run
         if sql:

@@ -174,9 +174,10 @@ _NAMES = "[" + ", ".join(f"'{c}'" for c in TRIP_FEATURES) + "]"
 
 
 def _decision_sql(level: str) -> str:
+    # Spark prints exact halves upwards; the nudge is far below the six places of the data.
     value, threshold = f"r.features[{level}.feature + 1]", f"{level}.threshold"
-    return f"""{_NAMES}[{level}.feature + 1] || ' = ' || printf('%.4f', {value})
-        || case when {value} <= {threshold} then ' <= ' else ' > ' end || printf('%.4f', {threshold})
+    return f"""{_NAMES}[{level}.feature + 1] || ' = ' || printf('%.4f', {value} + 1e-9)
+        || case when {value} <= {threshold} then ' <= ' else ' > ' end || printf('%.4f', {threshold} + 1e-9)
         || case when {value} <= {threshold} then ', go left' else ', go right' end"""
 
 

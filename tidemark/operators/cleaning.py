@@ -14,6 +14,7 @@ def project_except(df: DataFrame, names: list[str]) -> DataFrame:
 
 
 def drop_nulls(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Drop rows with a null or NaN in any column, as ``na.drop`` does."""
     return df.na.drop(subset=columns)
 
 

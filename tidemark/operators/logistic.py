@@ -70,65 +70,64 @@ def param_grid(lists: dict[str, list] | None = None) -> list[GDParams]:
     return [GDParams(**dict(zip(lists, values))) for values in product(*lists.values())]
 
 
-def _candidates(weights: dict[int, list[float]], extras: dict[int, tuple[float, float]]) -> Column:
-    return F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("candidate"),
-                F.array(*[F.lit(float(x)) for x in w]).alias("w"),
-                F.lit(float(extras[i][0])).alias("w0"),
-                F.lit(float(extras[i][1])).alias("w1"),
-            )
-            for i, w in weights.items()
-        ]
-    )
+def _candidates(weights: dict[int, list[float]], class_weights: dict[int, tuple[float, float]]) -> Column:
+    """Literal array of (candidate, weights, class weights), written as SQL text: one call per pass."""
+
+    def number(x: float) -> str:
+        return f"{float(x)!r}D"
+
+    entries = [
+        f"named_struct('candidate', {i}, 'w', array({', '.join(map(number, w))}), "
+        f"'w0', {number(class_weights[i][0])}, 'w1', {number(class_weights[i][1])})"
+        for i, w in weights.items()
+    ]
+    return F.inline(F.expr(f"array({', '.join(entries)})"))
 
 
-def _fan_out(
-    rows: DataFrame, weights: dict[int, list[float]], class_weights: dict[int, tuple[float, float]], kept: list[str]
-) -> DataFrame:
-    """Each row once per candidate, with its score under that candidate's weights."""
-    size = len(next(iter(weights.values())))
+def _candidate_score(size: int) -> Column:
     z = F.lit(0.0)
     for i in range(size):
         z = z + F.col("features")[i] * F.col("w")[i]
-    fanned = rows.select(*kept, F.inline(_candidates(weights, class_weights)))
-    return fanned.withColumn("score", sigmoid(z))
+    return sigmoid(z).alias("score")
 
 
 @dataclass
-class _Pass:
+class _Sums:
     gradient: list[float]
     loss: float
 
 
-def _gradient_pass(
-    rows: DataFrame,
-    weights: dict[int, list[float]],
-    class_weights: dict[int, tuple[float, float]],
-    weighted_gradient: bool = False,
-) -> dict[int, _Pass]:
+class _GradientPass:
     """Mean gradient and mean weighted loss of every candidate, from one scan of the rows."""
-    size = len(next(iter(weights.values())))
-    scored = _fan_out(rows, weights, class_weights, ["features", "label"])
-    weight = F.when(F.col("label") == 1, F.col("w1")).otherwise(F.col("w0"))
-    residual = F.col("score") - F.col("label")
-    if weighted_gradient:
-        residual = residual * weight
-    prepared = scored.select(
-        "candidate",
-        "features",
-        residual.alias("residual"),
-        (weight * row_log_loss(F.col("score"), F.col("label"))).alias("row_loss"),
-    )
-    sums = prepared.groupBy("candidate").agg(
-        F.avg("row_loss").alias("loss"),
-        *[F.avg(F.col("features")[i] * F.col("residual")).alias(f"g_{i}") for i in range(size)],
-    )
-    # One row per candidate: bounded by the grid.
-    return {
-        r["candidate"]: _Pass([r[f"g_{i}"] for i in range(size)], r["loss"]) for r in sums.collect()
-    }
+
+    def __init__(self, rows: DataFrame, size: int, weighted_gradient: bool = False) -> None:
+        self.rows, self.size = rows, size
+        weight = F.when(F.col("label") == 1, F.col("w1")).otherwise(F.col("w0"))
+        residual = F.col("score") - F.col("label")
+        self.scored = ["candidate", "features", "label", "w0", "w1", _candidate_score(size)]
+        self.prepared = [
+            "candidate",
+            "features",
+            (residual * weight if weighted_gradient else residual).alias("residual"),
+            (weight * row_log_loss(F.col("score"), F.col("label"))).alias("row_loss"),
+        ]
+        self.sums = [
+            F.avg("row_loss").alias("loss"),
+            *[F.avg(F.col("features")[i] * F.col("residual")).alias(f"g_{i}") for i in range(size)],
+        ]
+
+    def run(
+        self, weights: dict[int, list[float]], class_weights: dict[int, tuple[float, float]]
+    ) -> dict[int, _Sums]:
+        sums = (
+            self.rows.select("features", "label", _candidates(weights, class_weights))
+            .select(*self.scored)
+            .select(*self.prepared)
+            .groupBy("candidate")
+            .agg(*self.sums)
+        )
+        # One row per candidate: bounded by the grid.
+        return {r[0]: _Sums(list(r[2:]), r[1]) for r in sums.collect()}
 
 
 @dataclass
@@ -154,9 +153,10 @@ def gd_train(
     velocity = [[0.0] * size for _ in grid]
     lowest = [inf] * len(grid)
     live = {i: grid[i].class_weights for i in range(len(grid))}
+    one_pass = _GradientPass(rows, size, weighted_gradient)
     epoch = 0
     while live:
-        passes = _gradient_pass(rows, {i: models[i].weights for i in live}, live, weighted_gradient)
+        passes = one_pass.run({i: models[i].weights for i in live}, live)
         if not passes:
             raise ValueError("no training rows")
         for i in list(live):
@@ -186,7 +186,8 @@ def score_candidates(rows: DataFrame, weights: list[list[float]], kept: list[str
     numbered = dict(enumerate(weights))
     ones = {i: (1.0, 1.0) for i in numbered}
     kept = kept or ["label"]
-    return _fan_out(rows, numbered, ones, ["features", *kept]).select("candidate", *kept, "score")
+    fanned = rows.select("features", *kept, _candidates(numbered, ones))
+    return fanned.select("candidate", *kept, _candidate_score(len(weights[0])))
 
 
 def gd_search(
@@ -242,8 +243,11 @@ def sgd_train(
     state = {i: [0.0] * size for i in range(len(steps))}
     noted: dict[tuple[int, int], list[float]] = {}
     live = dict.fromkeys(state, (1.0, 1.0))
+    one_pass = _GradientPass(rows, size)
     for iteration in range(1, max(iterations) + 1):
-        passes = _gradient_pass(rows, {i: state[i] for i in live}, live)
+        passes = one_pass.run({i: state[i] for i in live}, live)
+        if not passes:
+            raise ValueError("no training rows")
         for i in list(live):
             before = state[i]
             state[i] = _updated(before, passes[i].gradient, steps[i], iteration, reg_param)
