@@ -10,7 +10,7 @@ from tidemark.catalog.registry import query
 from tidemark.operators import cleaning, library_models, logistic, metrics, scale
 from tidemark.operators.split import hash_split, split_number
 from tidemark.plans import classification
-from tidemark.session import scratch_dir
+from tidemark.session import scratch_dir, spread
 from tidemark.sources import csv
 from tidemark.sources.tables import FRAUD_FEATURES, fraud, labelled_vectors
 
@@ -260,7 +260,7 @@ def _weights_sql(source: str, candidate: int) -> str:
     f"""with {FRAUD}, {POPULATION_SCALED}, {_descent_sql(3, 0.7, 0.003, 0.9)} {_weights_sql('m3', 0)}""",
 )
 def gd_train(spark, sf_dir):
-    train = _scaled_arrays(spark, sf_dir).filter("split = 0").persist()
+    train = spread(_scaled_arrays(spark, sf_dir).filter("split = 0").select("features", "label")).persist()
     params = logistic.GDParams(learning_rate=0.7, num_epochs=3, reg_param=0.003)
     models = logistic.gd_train(train, len(GRADIENT_TERMS), [params])
     train.unpersist()
@@ -292,7 +292,7 @@ GRID = logistic.param_grid(GRID_LISTS)
 )
 def param_grid(spark, sf_dir):
     """Loss of every grid combination after one epoch, all from the same two passes."""
-    train = _scaled_arrays(spark, sf_dir).filter("split = 0").persist()
+    train = spread(_scaled_arrays(spark, sf_dir).filter("split = 0").select("features", "label")).persist()
     models = logistic.gd_train(train, len(GRADIENT_TERMS), GRID)
     train.unpersist()
     rows = [(m.params.learning_rate, m.params.reg_param, m.losses[0]) for m in models]
@@ -303,7 +303,7 @@ def param_grid(spark, sf_dir):
 def gd_grid(spark, sf_dir):
     """Validation metrics of every (candidate, threshold) of the full grid."""
     rows = _scaled_arrays(spark, sf_dir)
-    train = rows.filter("split = 0").select("features", "label").persist()
+    train = spread(rows.filter("split = 0").select("features", "label")).persist()
     _, table = logistic.gd_search(train, rows.filter("split = 1"), len(GRADIENT_TERMS))
     train.unpersist()
     return table.drop("rank_key")
@@ -334,7 +334,7 @@ def _without_bias(spark, sf_dir) -> DataFrame:
     from s3""",
 )
 def logreg_sgd(spark, sf_dir):
-    train = _without_bias(spark, sf_dir).filter("split = 0").select("features", "label").persist()
+    train = spread(_without_bias(spark, sf_dir).filter("split = 0").select("features", "label")).persist()
     models = logistic.sgd_train(train, len(FRAUD_FEATURES), [15.0], [3])
     train.unpersist()
     rows = [(float(m.step), m.iterations, *m.weights) for m in models]
@@ -346,7 +346,7 @@ def logreg_sgd(spark, sf_dir):
 def logreg_sgd_grid(spark, sf_dir):
     """Validation metrics of the step x iterations search."""
     rows = _without_bias(spark, sf_dir)
-    train = rows.filter("split = 0").select("features", "label").persist()
+    train = spread(rows.filter("split = 0").select("features", "label")).persist()
     models = logistic.sgd_train(train, len(FRAUD_FEATURES), logistic.SGD_STEPS, logistic.SGD_ITERATIONS)
     train.unpersist()
     scored = logistic.score_candidates(rows.filter("split = 1"), [m.weights for m in models])

@@ -12,6 +12,7 @@ from tidemark.operators import library_models, median_tree, tree_nodes
 from tidemark.operators.split import hash_split
 from tidemark.operators.trips import TRIP_FEATURES, feature_array, score_table, train_table
 from tidemark.plans.regression import result_tables, trip_job
+from tidemark.session import spread
 from tidemark.sources.tables import trips
 
 N_FEATURES = len(TRIP_FEATURES)
@@ -78,7 +79,7 @@ def training_rows(spark, sf_dir) -> DataFrame:
 
 
 def _fit(spark, sf_dir, depth: int) -> tree_nodes.NodeTree:
-    rows = training_rows(spark, sf_dir).persist()
+    rows = spread(training_rows(spark, sf_dir)).persist()
     tree = median_tree.fit_median_tree(rows, TRIP_FEATURES, depth)
     rows.unpersist()
     return tree
@@ -210,7 +211,7 @@ def sample_paths(spark, sf_dir):
 def median_tree_deep(spark, sf_dir):
     """Validation error by depth of one median tree grown ten levels."""
     train, validation = hash_split(training_rows(spark, sf_dir), "id", [0.8, 0.2])
-    train = train.persist()
+    train = spread(train).persist()
     tree = median_tree.fit_median_tree(train, TRIP_FEATURES, 10)
     train.unpersist()
     return library_models.depth_metrics(tree, validation, list(range(1, 11)))
@@ -218,7 +219,7 @@ def median_tree_deep(spark, sf_dir):
 
 @query("tree_fit")
 def tree_fit(spark, sf_dir):
-    rows = training_rows(spark, sf_dir).persist()
+    rows = spread(training_rows(spark, sf_dir)).persist()
     model = library_models.fit_tree(library_models.with_vectors(rows), 5)
     rows.unpersist()
     return library_models.node_tree(model, TRIP_FEATURES, spark).nodes
@@ -226,7 +227,7 @@ def tree_fit(spark, sf_dir):
 
 @query("tree_predict")
 def tree_predict(spark, sf_dir):
-    rows = library_models.with_vectors(training_rows(spark, sf_dir)).persist()
+    rows = spread(library_models.with_vectors(training_rows(spark, sf_dir))).persist()
     model = library_models.fit_tree(rows, 5)
     rows.unpersist()
     test = library_models.with_vectors(feature_array(score_table(trips(spark, sf_dir))))
@@ -237,7 +238,7 @@ def tree_predict(spark, sf_dir):
 def tree_depth_grid(spark, sf_dir):
     train, validation = hash_split(training_rows(spark, sf_dir), "id", [0.8, 0.2])
     _, table = library_models.depth_grid(
-        train.persist(), validation, TRIP_FEATURES, library_models.TREE_DEPTHS
+        spread(train).persist(), validation, TRIP_FEATURES, library_models.TREE_DEPTHS
     )
     return table
 
@@ -245,7 +246,7 @@ def tree_depth_grid(spark, sf_dir):
 @query("tree_importance")
 def tree_importance(spark, sf_dir):
     """Impurity importance of the library tree."""
-    rows = library_models.with_vectors(training_rows(spark, sf_dir)).persist()
+    rows = spread(library_models.with_vectors(training_rows(spark, sf_dir))).persist()
     model = library_models.fit_tree(rows, 5)
     rows.unpersist()
     values = list(zip(TRIP_FEATURES, model.featureImportances.toArray().tolist()))

@@ -24,6 +24,7 @@ from tidemark.operators.logistic import (
 from tidemark.operators.metrics import binary_metrics, hard_cross_entropy, threshold_metrics
 from tidemark.operators.scale import array_moments, assemble, fit_scaler, scale_array
 from tidemark.operators.split import hash_split
+from tidemark.session import spread
 from tidemark.sources.csv import metrics_frame
 
 SPLIT = [0.7, 0.1, 0.2]
@@ -38,7 +39,7 @@ def library_job(
     )
     splits = hash_split(rows, key, weights or SPLIT)
     scaler = fit_scaler(splits[0])
-    train = scaler.transform(splits[0]).select("features", "label").persist()
+    train = spread(scaler.transform(splits[0]).select("features", "label")).persist()
     test = scaler.transform(splits[-1]).select("features", "label")
     started = time.perf_counter()
     model = fit_logistic(train, max_iter)
@@ -89,7 +90,7 @@ def sgd_job(
         scale_array(s, means, stds).withColumn("features", F.slice("features", 1, size)).select("features", "label")
         for s in (train, validation, test)
     )
-    train = train.persist()
+    train = spread(train).persist()
     started = time.perf_counter()
     models = sgd_train(train, size, steps or SGD_STEPS, iterations or SGD_ITERATIONS)
     seconds = time.perf_counter() - started
@@ -129,7 +130,7 @@ def gd_job(
     train, validation, test = (
         scale_array(s, means, stds).select("features", "label") for s in (train, validation, test)
     )
-    train = train.persist()
+    train = spread(train).persist()
     started = time.perf_counter()
     models, table = gd_search(train, validation, len(columns) + 1, grid, thresholds)
     seconds = time.perf_counter() - started

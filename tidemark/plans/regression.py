@@ -15,6 +15,7 @@ from tidemark.operators.metrics import best_candidate, regression_metrics
 from tidemark.operators.split import hash_split
 from tidemark.operators.tree_nodes import NodeTree, predict, split_importances, tree_lines
 from tidemark.operators.trips import TRIP_FEATURES, feature_array, score_table, train_table
+from tidemark.session import spread
 from tidemark.sources.csv import metrics_frame
 
 SPLIT = [0.8, 0.2]
@@ -44,7 +45,7 @@ def trip_job(
     iso_week = method == "median"
     rows = feature_array(train_table(train_trips, iso_week=iso_week))
     train, validation = hash_split(rows, "id", SPLIT)
-    train = train.persist()
+    train = spread(train).persist()
     started = time.perf_counter()
     if method == "median":
         full = fit_median_tree(train, TRIP_FEATURES, max(depths))

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -14,6 +14,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A skewed join partition is split even when the next step then needs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # HotSpot never compiles methods above 8000 bytes of bytecode. Wide feature expressions exceed
+    # that inside one whole-stage method and then run interpreted; past the limit Spark splits them.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Join and window state outgrows executor heap on long streams; RocksDB keeps it on disk.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -61,6 +64,16 @@ def shared_root(spark: SparkSession) -> str:
     return _scratch_root[app]
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows to be scanned many times, in at least one partition per core.
+
+    Small inputs arrive in few splits and would leave cores idle on every pass; large ones already
+    have more splits than cores and are left alone. Meant for plans without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint`` usable, keeping a directory that is already set."""
     if spark.sparkContext.getCheckpointDir() is None:

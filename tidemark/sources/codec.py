@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.scalars import parse_tick_timestamp
+from tidemark.functions.scalars import TICK_TIMESTAMP_FORMAT, parse_tick_timestamp
 
 
 def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
@@ -44,8 +44,9 @@ def decode_zscores(messages: DataFrame) -> DataFrame:
 
 
 def encode(df: DataFrame, key: str = "symbol") -> DataFrame:
-    """``key`` and the whole row as JSON ``value``."""
-    return df.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct("*")).alias("value"))
+    """``key`` and the whole row as JSON ``value``; times keep their microseconds."""
+    value = F.to_json(F.struct("*"), {"timestampFormat": TICK_TIMESTAMP_FORMAT})
+    return df.select(F.col(key).cast("string").alias("key"), value.alias("value"))
 
 
 def encode_change(changes: DataFrame, column: str, field: str) -> DataFrame:
