@@ -169,7 +169,8 @@ def area_under_roc(scores: DataFrame, score: str = "score", label: str = "label"
     bounds come from a sketch and affect only balance, not the result.
     """
     known = scores.select(F.col(score).cast("double").alias("s"), (F.col(label) == 1).alias("y")).na.drop()
-    bounds = known.approxQuantile("s", [i / buckets for i in range(1, buckets)], 0.25 / buckets)
+    steps = [i / buckets for i in range(1, buckets)]
+    bounds = known.approxQuantile("s", steps, 0.25 / buckets) if steps else []
     inner = sorted({b for b in bounds if float("-inf") < b < float("inf")})
     splits = [float("-inf"), *(inner or [0.0]), float("inf")]
     per_score = known.groupBy("s").agg(
