@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import library_models, tree_nodes
-from tidemark.operators.median_tree import fit_median_tree, split_gains, upper_medians, value_sums
+from tidemark.operators.median_tree import fit_median_tree, median_splits, split_gains, value_sums
 from tidemark.plans.regression import result_tables, trip_job
 from tidemark.sources.tables import trips
 
@@ -68,20 +68,23 @@ def test_median_tree_against_recursion(spark, sort_rows):
 
 
 def test_upper_median_skips_single_values(spark):
+    values = [(0, 3.0), (0, 1.0), (1, 4.0), (2, 5.0), (2, -2.0), (2, 9.0)]
     df = spark.createDataFrame(
-        [(1, 0, v) for v in (3.0, 1.0)] + [(1, 1, 4.0)] + [(1, 2, v) for v in (5.0, -2.0, 9.0)],
-        "node long, feature int, value double",
-    )
-    got = {r["feature"]: r["threshold"] for r in upper_medians(df, ["node", "feature"], 3).collect()}
-    assert got == {0: 3.0, 2: 5.0}
+        [(1, j, v, i + 1, v) for i, (j, v) in enumerate(values)],
+        "node long, feature int, value double, n long, s double",
+    ).withColumn("s", F.col("s").cast("decimal(28,9)"))
+    splits, totals = median_splits(df, 3)
+    got = {r["feature"]: (r["threshold"], r["n_left"], float(r["s_left"])) for r in splits.collect()}
+    assert got == {0: (3.0, 3, 4.0), 2: (5.0, 9, 3.0)}
+    assert totals.first()["n_rows"] == 3
 
 
 def test_empty_side_is_only_allowed_on_request(spark):
     df = spark.createDataFrame([([0.0], 1.0), ([1.0], 2.0)], "features array<double>, label double")
     sums = value_sums(df.withColumn("node", F.lit(1).cast("long")))
-    thresholds = upper_medians(sums, ["node", "feature"], 1)
-    assert split_gains(sums, thresholds, 1).count() == 0
-    kept = split_gains(sums, thresholds, 1, allow_empty_child=True).first()
+    splits, _ = median_splits(sums, 1)
+    assert split_gains(splits).count() == 0
+    kept = split_gains(splits, allow_empty_child=True).first()
     assert (kept["threshold"], kept["n_right"], kept["gain"]) == (1.0, 0, 0.0)
     tree = fit_median_tree(df, ["a"], 1, allow_empty_child=True)
     unseen = spark.createDataFrame([([0.5],), ([7.0],)], "features array<double>")

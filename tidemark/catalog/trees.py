@@ -96,7 +96,8 @@ def _root_sums(spark, sf_dir) -> DataFrame:
     from thresholds1""",
 )
 def tree_thresholds(spark, sf_dir):
-    return median_tree.upper_medians(_root_sums(spark, sf_dir), ["node", "feature"], N_FEATURES)
+    splits, _ = median_tree.median_splits(_root_sums(spark, sf_dir), N_FEATURES)
+    return splits.select("node", "feature", "threshold")
 
 
 @query(
@@ -114,9 +115,8 @@ def tree_thresholds(spark, sf_dir):
     from sides where nr > 0""",
 )
 def tree_split_gain(spark, sf_dir):
-    sums = _root_sums(spark, sf_dir).persist()
-    thresholds = median_tree.upper_medians(sums, ["node", "feature"], N_FEATURES)
-    return median_tree.split_gains(sums, thresholds, N_FEATURES)
+    splits, _ = median_tree.median_splits(_root_sums(spark, sf_dir), N_FEATURES)
+    return median_tree.split_gains(splits)
 
 
 @query(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import from_log_label
 from tidemark.operators.metrics import regression_metrics
-from tidemark.operators.tree_nodes import ROOT, NodeTree, predict_depths, sized
+from tidemark.operators.tree_nodes import NodeTree, predict_depths
 from tidemark.session import ensure_checkpoint_dir, scratch_dir
 
 # Fixed value: depths searched.
@@ -62,16 +62,42 @@ def node_tree(model: DecisionTreeRegressionModel, feature_names: list[str], spar
         F.when(is_split, F.try_element_at("split.leftCategoriesOrThreshold", F.lit(1))).alias("threshold"),
         F.when(is_split, F.array("leftChild", "rightChild")).alias("children"),
     )
-    tree = NodeTree(list(feature_names))
-    numbered = saved.filter(F.col("id") == 0).withColumn("node", F.lit(ROOT).cast("long"))
-    for depth in range(model.depth + 1):
-        level = numbered.withColumn("depth", F.lit(depth)).checkpoint()
-        tree.levels.append(level.select("node", "depth", "n_rows", "prediction", "feature", "threshold"))
-        below = level.filter(F.col("children").isNotNull()).select(
-            F.col("node").alias("parent"), F.posexplode("children").alias("side", "id")
+    # Sides taken from an ancestor down to the node. Each round doubles the distance covered.
+    up = saved.select(F.posexplode("children").alias("path", "id"), F.col("id").alias("top"))
+    up = up.select("id", "top", F.col("path").cast("long").alias("path"), F.lit(1).alias("length"))
+    covered = 1
+    while covered < model.depth:
+        above = up.select(
+            F.col("id").alias("top"),
+            F.col("top").alias("next_top"),
+            F.col("path").alias("next_path"),
+            F.col("length").alias("next_length"),
         )
-        numbered = saved.join(sized(below, 2 << depth), "id").withColumn("node", 2 * F.col("parent") + F.col("side"))
-    return tree
+        up = (
+            up.join(above, "top", "left")
+            .select(
+                "id",
+                F.coalesce("next_top", "top").alias("top"),
+                (F.coalesce(F.col("next_path"), F.lit(0)) * F.pow(F.lit(2), F.col("length")).cast("long") + F.col("path")).alias("path"),
+                (F.coalesce(F.col("next_length"), F.lit(0)) + F.col("length")).alias("length"),
+            )
+            .checkpoint()
+        )
+        covered *= 2
+    depth = F.coalesce(F.col("length"), F.lit(0))
+    nodes = (
+        saved.join(up, "id", "left")
+        .select(
+            (F.pow(F.lit(2), depth).cast("long") + F.coalesce("path", F.lit(0))).alias("node"),
+            depth.alias("depth"),
+            "n_rows",
+            "prediction",
+            "feature",
+            "threshold",
+        )
+        .checkpoint()
+    )
+    return NodeTree(list(feature_names), [nodes.filter(F.col("depth") == d) for d in range(model.depth + 1)])
 
 
 def depth_metrics(tree: NodeTree, rows: DataFrame, depths: list[int]) -> DataFrame:

@@ -10,7 +10,7 @@ features that split a node alike tie exactly, which the lowest-feature rule need
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -18,6 +18,7 @@ from tidemark.operators.tree_nodes import ROOT, NodeTree, child_of, sized
 from tidemark.session import ensure_checkpoint_dir
 
 LABEL_TYPE = "decimal(18,9)"
+SUM_TYPE = "decimal(38,9)"
 # Rows of one group that a single sort may hold before its value range is narrowed further.
 SORT_ROWS = 200_000
 RANGE_BINS = 1024
@@ -36,76 +37,102 @@ def value_sums(rows: DataFrame) -> DataFrame:
     )
 
 
-def upper_medians(
-    distinct_values: DataFrame, by: list[str], groups_at_most: int, sort_rows: int = SORT_ROWS
-) -> DataFrame:
-    """Element ``count div 2`` (from 0) of each group's sorted distinct values; groups of one are skipped.
+def median_splits(sums: DataFrame, groups_at_most: int, sort_rows: int = SORT_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Split of every (node, feature) at the upper median of its distinct values, and node totals.
+
+    The median is element ``count div 2`` (from 0) of the sorted values; single values give no
+    split. Running sums along the same order give the left side at no further cost.
 
     A large group is never sorted whole. Its range is cut into equal bins, the bin that holds the
-    wanted rank becomes the new range, and this repeats until what is left fits one sort. Binning
-    keeps order, so the result is exact.
+    wanted rank becomes the new range, the bins below it are added up, and this repeats until what
+    is left fits one sort. Binning keeps order, so the result is exact.
     """
-    key = [*by]
-    ensure_checkpoint_dir(distinct_values.sparkSession)
-    ranges = (
-        distinct_values.groupBy(*key)
-        .agg(F.count(F.lit(1)).alias("size"), F.min("value").alias("low"), F.max("value").alias("high"))
-        .filter(F.col("size") >= 2)
+    key = ["node", "feature"]
+    ensure_checkpoint_dir(sums.sparkSession)
+    whole = (
+        sums.groupBy(*key)
+        .agg(
+            F.count(F.lit(1)).alias("size"),
+            F.min("value").alias("low"),
+            F.max("value").alias("high"),
+            F.sum("n").alias("n_all"),
+            F.sum("s").cast(SUM_TYPE).alias("s_all"),
+        )
         .withColumn("rank", F.floor(F.col("size") / 2))
         .checkpoint()
     )
+    totals = whole.filter(F.col("feature") == 0).select("node", F.col("n_all").alias("n_rows"), "s_all")
+    ranges = whole.filter(F.col("size") >= 2).withColumns(
+        {"n_below": F.lit(0).cast("long"), "s_below": F.lit(0).cast(SUM_TYPE)}
+    )
 
     def inside() -> DataFrame:
-        return distinct_values.join(sized(ranges, groups_at_most), key).filter(
+        return sums.join(sized(ranges.drop("size"), groups_at_most), key).filter(
             F.col("value").between(F.col("low"), F.col("high"))
         )
 
+    carried = [*key, "rank", "n_all", "s_all", "n_below", "s_below"]
     while (ranges.agg(F.max("size")).first()[0] or 0) > sort_rows:
         width = F.col("high") - F.col("low")
         position = F.floor(F.try_divide(F.col("value") - F.col("low"), width) * RANGE_BINS)
         ahead = Window.partitionBy(*key).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+
+        def below(column: str) -> Column:
+            return F.coalesce(F.sum(column).over(ahead), F.lit(0))
+
         bins = (
             inside()
             .withColumn("bin", F.least(F.coalesce(position, F.lit(0)), F.lit(RANGE_BINS - 1)))
-            .groupBy(*key, "rank", "bin")
-            .agg(F.count(F.lit(1)).alias("size"), F.min("value").alias("low"), F.max("value").alias("high"))
+            .groupBy(*carried, "bin")
+            .agg(
+                F.count(F.lit(1)).alias("size"),
+                F.min("value").alias("low"),
+                F.max("value").alias("high"),
+                F.sum("n").alias("n_bin"),
+                F.sum("s").alias("s_bin"),
+            )
             # At most RANGE_BINS rows per group.
-            .withColumn("before", F.coalesce(F.sum("size").over(ahead), F.lit(0)))
+            .withColumns({"before": below("size"), "n_before": below("n_bin"), "s_before": below("s_bin")})
         )
         ranges = (
             bins.filter((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("size")))
-            .select(*key, "size", "low", "high", (F.col("rank") - F.col("before")).alias("rank"))
+            .select(
+                *key,
+                "size",
+                "low",
+                "high",
+                (F.col("rank") - F.col("before")).alias("rank"),
+                "n_all",
+                "s_all",
+                (F.col("n_below") + F.col("n_before")).alias("n_below"),
+                (F.col("s_below") + F.col("s_before")).cast(SUM_TYPE).alias("s_below"),
+            )
             .checkpoint()
         )
-    place = F.row_number().over(Window.partitionBy(*key).orderBy("value"))
-    return (
+    ordered = Window.partitionBy(*key).orderBy("value")
+    up_to = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    splits = (
         inside()
-        .withColumn("place", place)
+        .withColumns(
+            {
+                "place": F.row_number().over(ordered),
+                "n_left": F.col("n_below") + F.sum("n").over(up_to),
+                "s_left": (F.col("s_below") + F.sum("s").over(up_to)).cast(SUM_TYPE),
+            }
+        )
         .filter(F.col("place") == F.col("rank") + 1)
-        .select(*key, F.col("value").alias("threshold"))
+        .select(*key, F.col("value").alias("threshold"), "n_all", "s_all", "n_left", "s_left")
     )
+    return splits, totals
 
 
-def split_gains(
-    sums: DataFrame, thresholds: DataFrame, groups_at_most: int, allow_empty_child: bool = False
-) -> DataFrame:
+def split_gains(splits: DataFrame, allow_empty_child: bool = False) -> DataFrame:
     """Variance reduction of each (node, feature) split; ``<=`` goes left.
 
     By default a split must leave rows on both sides. ``allow_empty_child`` also keeps splits at
     the largest value, whose right child is empty and whose gain is 0.
     """
-    left = F.col("value") <= F.col("threshold")
-    sides = (
-        sums.join(sized(thresholds, groups_at_most), ["node", "feature"])
-        .groupBy("node", "feature", "threshold")
-        .agg(
-            F.sum("n").alias("n_all"),
-            F.sum(F.when(left, F.col("n")).otherwise(0)).alias("n_left"),
-            F.sum("s").alias("s_all"),
-            F.sum(F.when(left, F.col("s")).otherwise(0)).alias("s_left"),
-        )
-        .withColumn("n_right", F.col("n_all") - F.col("n_left"))
-    )
+    sides = splits.withColumn("n_right", F.col("n_all") - F.col("n_left"))
     if not allow_empty_child:
         sides = sides.filter(F.col("n_right") > 0)
     gap = F.col("s_left").cast("double") / F.col("n_left") - F.try_divide(
@@ -135,49 +162,49 @@ def fit_median_tree(
     ensure_checkpoint_dir(rows.sparkSession)
     tree = NodeTree(list(feature_names))
     current = rows.select("features", "label", F.lit(ROOT).cast("long").alias("node"))
+    held: DataFrame | None = None
     for depth in range(max_depth + 1):
         nodes_at_most = 1 << depth
-        last = depth == max_depth
-        if last:
-            level = _level(_node_totals(current), None, depth)
-        else:
-            sums = value_sums(current).persist()
-            groups = nodes_at_most * len(feature_names)
-            thresholds = upper_medians(sums, ["node", "feature"], groups, sort_rows)
-            winners = best_splits(split_gains(sums, thresholds, groups, allow_empty_child))
-            totals = (
-                sums.filter(F.col("feature") == 0)
-                .groupBy("node")
-                .agg(F.sum("n").alias("n_rows"), F.sum("s").alias("s"))
-            )
-            level = _level(totals, winners, depth)
-        level = level.checkpoint()
-        if not last:
-            sums.unpersist()
-        if depth == 0 and level.isEmpty():
-            raise ValueError("no training rows")
+        if depth == max_depth:
+            tree.levels.append(_level(_node_totals(current), None, depth).checkpoint())
+            break
+        sums = value_sums(current).persist()
+        splits, totals = median_splits(sums, nodes_at_most * len(feature_names), sort_rows)
+        winners = best_splits(split_gains(splits, allow_empty_child))
+        level = _level(totals, winners, depth).checkpoint()
+        sums.unpersist()
         tree.levels.append(level)
-        splits = level.filter(F.col("feature").isNotNull()).select("node", "feature", "threshold")
-        if last or splits.isEmpty():
+        found = level.agg(F.count(F.lit(1)), F.count("feature")).first()
+        if depth == 0 and not found[0]:
+            raise ValueError("no training rows")
+        if not found[1]:
             break
-        current = current.join(sized(splits, nodes_at_most), "node").select(
+        chosen = level.filter(F.col("feature").isNotNull()).select("node", "feature", "threshold")
+        moved = current.join(sized(chosen, nodes_at_most), "node").select(
             "features",
             "label",
             child_of(F.col("node"), F.col("features")[F.col("feature")], F.col("threshold")).alias("node"),
         )
-        if (depth + 1) % checkpoint_every == 0:
-            current = current.checkpoint()
+        # The rows of a level are read once more to move them on; every few levels they are
+        # written out, which ends the chain of joins behind them.
+        current = moved.checkpoint() if (depth + 1) % checkpoint_every == 0 else moved.persist()
+        if held is not None:
+            current.count()
+            held.unpersist()
+        held = None if (depth + 1) % checkpoint_every == 0 else current
+    if held is not None:
+        held.unpersist()
     return tree
 
 
 def _node_totals(rows: DataFrame) -> DataFrame:
     return rows.groupBy("node").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("label").cast(LABEL_TYPE)).alias("s")
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("label").cast(LABEL_TYPE)).cast(SUM_TYPE).alias("s_all")
     )
 
 
 def _level(totals: DataFrame, winners: DataFrame | None, depth: int) -> DataFrame:
-    prediction = (F.col("s").cast("double") / F.col("n_rows")).alias("prediction")
+    prediction = (F.col("s_all").cast("double") / F.col("n_rows")).alias("prediction")
     if winners is None:
         split = [F.lit(None).cast("int").alias("feature"), F.lit(None).cast("double").alias("threshold")]
     else:

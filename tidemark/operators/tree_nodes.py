@@ -7,6 +7,7 @@ the root and ``2n`` / ``2n + 1`` for the children of ``n``, and ``<=`` goes left
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -53,9 +54,13 @@ class NodeTree:
         return NodeTree(self.feature_names, [*kept[:-1], last])
 
 
-def _walk(rows: DataFrame, tree: NodeTree, visit) -> DataFrame:
-    """Follow each row down the tree, one join per level; ``visit`` updates columns from a node row."""
-    walked = rows.withColumn("node", F.lit(ROOT).cast("long"))
+def _walk(rows: DataFrame, tree: NodeTree, name: str, start: Column, visit: Callable[[int], Column]) -> DataFrame:
+    """Follow each row down the tree, one join per level, and collect column ``name`` on the way.
+
+    ``visit`` gives the new value of the column from the current one and the node's columns.
+    """
+    kept = rows.columns
+    walked = rows.select(*kept, F.lit(ROOT).cast("long").alias("node"), start.alias(name))
     for depth, level in enumerate(tree.levels):
         here = level.select(
             "node",
@@ -63,10 +68,11 @@ def _walk(rows: DataFrame, tree: NodeTree, visit) -> DataFrame:
             F.col("feature").alias("node_feature"),
             F.col("threshold").alias("node_threshold"),
         )
-        walked = visit(walked.join(sized(here, 1 << depth), "node", "left"), depth)
         value = F.col("features")[F.col("node_feature")]
         step = F.when(F.col("node_feature").isNotNull(), child_of(F.col("node"), value, F.col("node_threshold")))
-        walked = walked.withColumn("node", step).drop("node_prediction", "node_feature", "node_threshold")
+        walked = walked.join(sized(here, 1 << depth), "node", "left").select(
+            *kept, step.alias("node"), visit(depth).alias(name)
+        )
     return walked.drop("node")
 
 
@@ -76,13 +82,12 @@ def predict_depths(rows: DataFrame, tree: NodeTree) -> DataFrame:
     A side that was empty in training predicts 0.
     """
 
-    def visit(df: DataFrame, depth: int) -> DataFrame:
+    def visit(depth: int) -> Column:
         arrived = F.when(F.col("node").isNotNull(), F.coalesce(F.col("node_prediction"), F.lit(0.0)))
-        kept = F.lit(0.0) if depth == 0 else F.element_at("predictions", -1)
-        grown = F.array() if depth == 0 else F.col("predictions")
-        return df.withColumn("predictions", F.concat(grown.cast("array<double>"), F.array(F.coalesce(arrived, kept))))
+        before = F.lit(0.0) if depth == 0 else F.col("predictions")[depth - 1]
+        return F.concat("predictions", F.array(F.coalesce(arrived, before)))
 
-    return _walk(rows, tree, visit)
+    return _walk(rows, tree, "predictions", F.array().cast("array<double>"), visit)
 
 
 def predict(rows: DataFrame, tree: NodeTree) -> DataFrame:
@@ -117,7 +122,7 @@ def decision_paths(rows: DataFrame, tree: NodeTree) -> DataFrame:
     """Add ``steps``: the decisions taken per row as text, ending with the leaf on both scales."""
     names = F.array(*[F.lit(n) for n in tree.feature_names])
 
-    def visit(df: DataFrame, depth: int) -> DataFrame:
+    def visit(depth: int) -> Column:
         value = F.col("features")[F.col("node_feature")]
         left = value <= F.col("node_threshold")
         decision = F.format_string(
@@ -130,13 +135,10 @@ def decision_paths(rows: DataFrame, tree: NodeTree) -> DataFrame:
         )
         reached = F.coalesce(F.col("node_prediction"), F.lit(0.0))
         leaf = F.format_string("Reached leaf, predict: %.4f (original scale: %.2f seconds)", reached, F.expm1(reached))
-        step = F.when(F.col("node").isNull(), F.array().cast("array<string>")).otherwise(
-            F.array(F.when(F.col("node_feature").isNotNull(), decision).otherwise(leaf))
-        )
-        grown = F.array().cast("array<string>") if depth == 0 else F.col("steps")
-        return df.withColumn("steps", F.concat(grown, step))
+        step = F.array(F.when(F.col("node_feature").isNotNull(), decision).otherwise(leaf))
+        return F.when(F.col("node").isNull(), F.col("steps")).otherwise(F.concat("steps", step))
 
-    return _walk(rows, tree, visit)
+    return _walk(rows, tree, "steps", F.array().cast("array<string>"), visit)
 
 
 def split_importances(tree: NodeTree) -> DataFrame:

@@ -23,6 +23,8 @@ RUNTIME_CONF = {
     ),
 }
 
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
 _scratch_root: dict[str, str] = {}
 
 
@@ -31,8 +33,13 @@ def tune(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
-    if _is_local(spark) and spark.conf.get("spark.sql.shuffle.partitions") == "200":
-        spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    cores = spark.sparkContext.defaultParallelism
+    if _is_local(spark):
+        if spark.conf.get("spark.sql.shuffle.partitions") == "200":
+            spark.conf.set("spark.sql.shuffle.partitions", str(cores))
+    elif spark.conf.get(INITIAL_PARTITIONS, None) is None:
+        # Adaptive execution merges small shuffle partitions but does not add any: start from many.
+        spark.conf.set(INITIAL_PARTITIONS, str(max(200, 4 * cores)))
     return spark
 
 
