@@ -91,6 +91,8 @@ def test_hard_cross_entropy_is_error_rate_scaled(spark):
     df = spark.createDataFrame([(0, 0), (1, 0), (1, 1), (0, 0)], "prediction int, label int")
     value = metrics.hard_cross_entropy(df).first()["cross_entropy"]
     assert value == pytest.approx(-math.log(1e-15) / 4, rel=1e-3)
+    counted = metrics.with_hard_cross_entropy(metrics.confusion(df)).first()["cross_entropy"]
+    assert counted == pytest.approx(value, rel=1e-2)
 
 
 @pytest.mark.parametrize("distinct", [3, 40, 5000])
@@ -209,10 +211,11 @@ def as_dict(df):
 def test_jobs_report_every_metric(spark):
     data, names = flat_rows(spark).persist(), ["v0", "v1", "v2"]
     library = as_dict(classification.library_job(data, "id", names, "Class"))
-    assert float(library["auc_test"]) > 0.7 and len(library) == 10
+    assert float(library["auc_test"]) > 0.7 and len(library) == 12
     sgd = as_dict(classification.sgd_job(data, "id", names, "Class", steps=[1.0, 5.0], iterations=[5, 10]))
     assert float(sgd["f1_test"]) > 0.4 and sgd["best_iterations"] in ("5", "10")
-    gd = as_dict(classification.gd_job(data, "id", names, "Class", [logistic.GDParams(num_epochs=10, learning_rate=1.0)]))
+    assert [k for k in sgd if k.startswith("run ")] == [f"run {i}" for i in range(4)]
+    gd = as_dict(classification.gd_job(data, names, "Class", [logistic.GDParams(num_epochs=10, learning_rate=1.0)]))
     assert float(gd["f1_test"]) > 0.4
 
 
@@ -220,3 +223,15 @@ def test_job_survives_a_search_where_every_f1_is_zero(spark):
     data = flat_rows(spark, 60).withColumn("Class", F.lit(0))
     result = as_dict(classification.sgd_job(data, "id", ["v0", "v1", "v2"], "Class", steps=[1.0], iterations=[1]))
     assert result["best_iterations"] == "1" and float(result["f1_test"]) == 0.0
+
+
+def test_copies_do_not_change_the_descent_job(spark):
+    data, names = flat_rows(spark, 200).persist(), ["v0", "v1", "v2"]
+    grid = [logistic.GDParams(num_epochs=3)]
+    once = as_dict(classification.gd_job(data, names, "Class", grid))
+    copied = as_dict(classification.gd_job(data.unionByName(data.limit(50)), names, "Class", grid))
+    for key in set(once) - {"training_seconds"}:
+        if key == "weights":
+            assert eval(once[key]) == pytest.approx(eval(copied[key]))
+        elif "run" not in key:
+            assert once[key] == copied[key]

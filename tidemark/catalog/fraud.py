@@ -306,7 +306,7 @@ def gd_grid(spark, sf_dir):
     train = spread(rows.filter("split = 0").select("features", "label")).persist()
     _, table = logistic.gd_search(train, rows.filter("split = 1"), len(GRADIENT_TERMS))
     train.unpersist()
-    return table.drop("rank_key")
+    return table
 
 
 def _sgd_sql(iterations: int, step: float, reg: float) -> str:
@@ -366,7 +366,7 @@ def logreg_fit(spark, sf_dir):
 def fraud_gd_job(spark, sf_dir):
     """Whole gradient-descent job with a short grid."""
     grid = logistic.param_grid(dict(logistic.GD_GRID_LISTS, num_epochs=[10]))
-    return classification.gd_job(fraud(spark, sf_dir), "row_key", FRAUD_FEATURES, "Class", grid)
+    return classification.gd_job(fraud(spark, sf_dir), FRAUD_FEATURES, "Class", grid)
 
 
 # --- metrics -----------------------------------------------------------------------------------

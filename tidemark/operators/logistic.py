@@ -196,18 +196,12 @@ def gd_search(
     size: int,
     grid: list[GDParams] | None = None,
     thresholds: list[float] | None = None,
-    metric: str = "f1_score",
 ) -> tuple[list[GDModel], DataFrame]:
-    """Train the whole grid, then the validation metrics of every (candidate, threshold).
-
-    Order the result by ``metric`` descending, then ``candidate``, then ``threshold_index`` to
-    get the winner: the first in grid order among equals.
-    """
+    """Train the whole grid, then the validation metrics of every (candidate, threshold)."""
     grid = grid or param_grid()
     models = gd_train(train, size, grid)
     scored = score_candidates(validation, [m.weights for m in models])
-    table = threshold_metrics(scored, thresholds, by=["candidate"])
-    return models, table.withColumn("rank_key", -F.col(metric))
+    return models, threshold_metrics(scored, thresholds, by=["candidate"])
 
 
 @dataclass

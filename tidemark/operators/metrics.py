@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import log
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,18 +29,32 @@ def confusion(predictions: DataFrame, prediction: str = "prediction", label: str
     return predictions.agg(*_confusion_counts(F.col(prediction) == 1, F.col(label) == 1))
 
 
-def binary_metrics(predictions: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:
-    """Accuracy, and precision, recall and F1 of class 1; an empty denominator gives 0."""
+def with_rates(counts: DataFrame) -> DataFrame:
+    """Add accuracy, and precision, recall and F1 of class 1, to confusion counts; 0 for an empty denominator."""
     tp, fp, tn, fn = (F.col(c) for c in ("tp", "fp", "tn", "fn"))
-    rates = confusion(predictions, prediction, label).select(
-        ratio_or_zero(tp + tn, tp + fp + tn + fn).alias("accuracy"),
-        ratio_or_zero(tp, tp + fp).alias("precision"),
-        ratio_or_zero(tp, tp + fn).alias("recall"),
+    rates = counts.withColumns(
+        {
+            "accuracy": ratio_or_zero(tp + tn, tp + fp + tn + fn),
+            "precision": ratio_or_zero(tp, tp + fp),
+            "recall": ratio_or_zero(tp, tp + fn),
+        }
     )
     p, r = F.col("precision"), F.col("recall")
     return rates.withColumn("f1_score", ratio_or_zero(2 * p * r, p + r))
 
 
+def binary_metrics(predictions: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:
+    """Accuracy, precision, recall and F1 of 0/1 predictions, from one confusion count."""
+    return with_rates(confusion(predictions, prediction, label)).select("accuracy", "precision", "recall", "f1_score")
+
+
+def with_hard_cross_entropy(counts: DataFrame) -> DataFrame:
+    """Add the clipped cross entropy of 0/1 predictions, which depends on the counts alone."""
+    wrong, right = F.col("fp") + F.col("fn"), F.col("tp") + F.col("tn")
+    total = wrong * -log(HARD_LABEL_CLIP) + right * -log(1 - HARD_LABEL_CLIP)
+    return counts.withColumn("cross_entropy", ratio_or_zero(total, wrong + right))
+
+
 def threshold_metrics(
     scores: DataFrame,
     thresholds: list[float] | None = None,
@@ -161,16 +177,20 @@ def regression_metrics(
     )
 
 
-def area_under_roc(scores: DataFrame, score: str = "score", label: str = "label", buckets: int = 64) -> DataFrame:
+def area_under_roc(
+    scores: DataFrame, score: str = "score", label: str = "label", buckets: int | None = None
+) -> DataFrame:
     """Exact area under the ROC curve, ties counted half.
 
     Equal scores collapse first. The running count of negatives is taken inside score ranges and
     shifted by the totals of the ranges below, so no single task sorts all scores. The range
     bounds come from a sketch and affect only balance, not the result.
     """
+    cores = scores.sparkSession.sparkContext.defaultParallelism
+    buckets = buckets or min(max(64, 2 * cores), 4096)
     known = scores.select(F.col(score).cast("double").alias("s"), (F.col(label) == 1).alias("y")).na.drop()
     steps = [i / buckets for i in range(1, buckets)]
-    bounds = known.approxQuantile("s", steps, 0.25 / buckets) if steps else []
+    bounds = known.approxQuantile("s", steps, 0.5 / buckets) if steps else []
     inner = sorted({b for b in bounds if float("-inf") < b < float("inf")})
     splits = [float("-inf"), *(inner or [0.0]), float("inf")]
     per_score = known.groupBy("s").agg(
