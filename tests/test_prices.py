@@ -58,6 +58,18 @@ def test_tick_without_window_keeps_one_row_and_an_empty_array(spark):
     assert packed.filter("symbol = 'B'").first()["zscores"] == []
 
 
+def test_missing_windows_leave_gaps_only(spark):
+    ticks = make_ticks(spark, [("A", 0, 1), ("A", 40, 3)])
+    durations = ["30 seconds", "1 minute"]
+    stats = ws.window_stats_multi(ticks, durations).filter("window = '1m' or avg_price = 1")
+    rows = zs.zscore_rows(ticks, stats, durations).orderBy("price_timestamp", "window")
+    assert [(r["window"], r["zscore_price"] and round(r["zscore_price"], 6)) for r in rows.collect()] == [
+        ("1m", -0.707107),
+        ("30s", None),
+        ("1m", 0.707107),
+    ]
+
+
 def test_records_equal_packed_rows_with_shared_timestamps(spark):
     rng = random.Random(3)
     rows = [(rng.choice("AB"), rng.randrange(0, 4000, 7), rng.uniform(1, 9)) for _ in range(600)]

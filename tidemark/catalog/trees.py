@@ -237,9 +237,9 @@ def tree_predict(spark, sf_dir):
 @query("tree_depth_grid")
 def tree_depth_grid(spark, sf_dir):
     train, validation = hash_split(training_rows(spark, sf_dir), "id", [0.8, 0.2])
-    _, table = library_models.depth_grid(
-        spread(train).persist(), validation, TRIP_FEATURES, library_models.TREE_DEPTHS
-    )
+    train = spread(train).persist()
+    _, table = library_models.depth_grid(train, validation, TRIP_FEATURES, library_models.TREE_DEPTHS)
+    train.unpersist()
     return table
 
 

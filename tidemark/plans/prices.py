@@ -6,15 +6,18 @@ intermediate topic is needed. Watermark delays default to the published settings
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.functions.timewin import WINDOW_LABELS
 from tidemark.operators.lookahead import DEFAULT_SPAN_SECONDS, first_change, lookahead_pairs
 from tidemark.operators.window_stats import DEFAULT_DURATIONS, pack_windows, window_stats_multi
 from tidemark.operators.zscore import unpack_zscores, zscore_stream
-from tidemark.sources.codec import encode_change
-from tidemark.streaming.sinks import fan_out, start_topic
+from tidemark.sources.codec import decode_zscores, encode_change
+from tidemark.streaming.sinks import collection_writer, fan_out, start_topic
 from tidemark.streaming.sources import read_topic, tick_stream
 
 MOVING_WATERMARK = "10 seconds"
@@ -53,6 +56,18 @@ def zscore_topic_job(spark, servers: str, source: str, target: str, checkpoint:
     return start_topic(zscores(ticks), servers, target, f"{checkpoint}/{target}")
 
 
+def load_topic_job(
+    spark, servers: str, source: str, fmt: str, options_for: Callable[[str], dict[str, str]], checkpoint: str
+) -> StreamingQuery:
+    """Z-score messages into one collection per window label, with one scan and one query for all.
+
+    ``options_for`` gives the connector options of a label, such as its collection name.
+    """
+    rows = routed(decode_zscores(read_topic(spark, servers, source, "latest")))
+    writer = collection_writer(fmt, list(WINDOW_LABELS.values()), options_for)
+    return fan_out(rows, [writer], f"{checkpoint}/{source}-load")
+
+
 def change_topic_job(
     spark, servers: str, source: str, higher: str, lower: str, checkpoint: str
 ) -> StreamingQuery:
