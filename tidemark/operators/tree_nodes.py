@@ -15,6 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROOT = 1
+# Texts of decision steps, reached leaves and tree lines.
+STEP_TEXT = "%s = %.4f %s %.4f, go %s"
+REACHED_TEXT = "Reached leaf, predict: %.4f (original scale: %.2f seconds)"
+SPLIT_LINE = "If %s <= %.2f"
+ELSE_LINE = "Else"
+LEAF_LINE = "Predict: %.2f"
 # A level or node table is broadcast only up to this many rows (a few MB).
 BROADCAST_ROWS = 1 << 16
 # Nested-expression predict is meant for trees up to this depth.
@@ -126,7 +132,7 @@ def decision_paths(rows: DataFrame, tree: NodeTree) -> DataFrame:
         value = F.col("features")[F.col("node_feature")]
         left = value <= F.col("node_threshold")
         decision = F.format_string(
-            "%s = %.4f %s %.4f, go %s",
+            STEP_TEXT,
             names[F.col("node_feature")],
             value,
             F.when(left, "<=").otherwise(">"),
@@ -134,7 +140,7 @@ def decision_paths(rows: DataFrame, tree: NodeTree) -> DataFrame:
             F.when(left, "left").otherwise("right"),
         )
         reached = F.coalesce(F.col("node_prediction"), F.lit(0.0))
-        leaf = F.format_string("Reached leaf, predict: %.4f (original scale: %.2f seconds)", reached, F.expm1(reached))
+        leaf = F.format_string(REACHED_TEXT, reached, F.expm1(reached))
         step = F.array(F.when(F.col("node_feature").isNotNull(), decision).otherwise(leaf))
         return F.when(F.col("node").isNull(), F.col("steps")).otherwise(F.concat("steps", step))
 
@@ -160,9 +166,9 @@ def tree_lines(tree: NodeTree) -> DataFrame:
     path = F.translate(F.substring(F.bin("node"), 2, 64), "1", "2")
     indent = F.repeat(F.lit("  "), F.col("depth"))
     is_leaf = F.col("feature").isNull()
-    leaf = F.format_string("Predict: %.2f", F.col("prediction"))
-    test = F.format_string("If %s <= %.2f", names[F.col("feature")], F.col("threshold"))
+    leaf = F.format_string(LEAF_LINE, F.col("prediction"))
+    test = F.format_string(SPLIT_LINE, names[F.col("feature")], F.col("threshold"))
     first = F.struct(path.alias("position"), F.concat(indent, F.when(is_leaf, leaf).otherwise(test)).alias("line"))
-    second = F.struct(F.concat(path, F.lit("1")).alias("position"), F.concat(indent, F.lit("Else")).alias("line"))
+    second = F.struct(F.concat(path, F.lit("1")).alias("position"), F.concat(indent, F.lit(ELSE_LINE)).alias("line"))
     lines = F.when(is_leaf, F.array(first)).otherwise(F.array(first, second))
     return tree.nodes.select(F.inline(lines))
