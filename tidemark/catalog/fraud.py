@@ -183,7 +183,7 @@ def _scaled_arrays(spark, sf_dir) -> DataFrame:
 @query(
     "zscore_scale",
     f"""with {FRAUD}, {POPULATION_SCALED}
-    select row_key, {rounded_sql(FRAUD_FEATURES)}, 1.0 as bias from scaled""",
+    select row_key, {rounded_sql(FRAUD_FEATURES)}, 1.0::double as bias from scaled""",
 )
 def zscore_scale(spark, sf_dir):
     names = [*FRAUD_FEATURES, "bias"]
@@ -330,7 +330,7 @@ def _without_bias(spark, sf_dir) -> DataFrame:
 @query(
     "logreg_sgd",
     f"""with {FRAUD}, {POPULATION_SCALED}, {_sgd_sql(3, 15.0, 0.01)}
-    select 15.0 as step, 3 as iterations, {", ".join(f"round(w{i}, 6) as w_{i}" for i in range(len(FRAUD_FEATURES)))}
+    select 15.0::double as step, 3 as iterations, {", ".join(f"round(w{i}, 6) as w_{i}" for i in range(len(FRAUD_FEATURES)))}
     from s3""",
 )
 def logreg_sgd(spark, sf_dir):

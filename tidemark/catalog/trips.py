@@ -197,7 +197,7 @@ def prediction_sets(spark, sf_dir) -> dict[str, DataFrame]:
 
 @query(
     "predictions_csv",
-    f"with {TRIPS} select id, round(trip_duration * 1.01, 2) as prediction from trips",
+    f"with {TRIPS} select id, cast(round(trip_duration * 1.01, 2) as double) as prediction from trips",
 )
 def predictions_csv(spark, sf_dir):
     path = scratch_dir(spark, "predictions")
