@@ -88,5 +88,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared root, for written tables and stream checkpoints."""
-    return os.path.join(shared_root(spark), f"{label}-{uuid.uuid4().hex}")
+    """A fresh path under the shared root, for written tables and stream checkpoints.
+
+    Whatever is written there goes when the driver's JVM ends: returned DataFrames may read it
+    as long as their session lives, and no longer.
+    """
+    path = os.path.join(shared_root(spark), f"{label}-{uuid.uuid4().hex}")
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    # The file system keeps only marks for paths that exist, so the folder is made first.
+    system = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(where)
+    system.deleteOnExit(where)
+    return path
