@@ -99,4 +99,4 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     system = where.getFileSystem(spark._jsc.hadoopConfiguration())
     system.mkdirs(where)
     system.deleteOnExit(where)
-    return path
+    return os.path.join(path, "data")
