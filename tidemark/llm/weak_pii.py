@@ -35,9 +35,11 @@ STRICT = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 WIDE = {
+    # Marks in brackets go with dots or bracketed dots, the plain word "at" with "dot" only.
     "email": (
-        r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?(?:@|\(at\)|\[at\]|(?<= )at(?= )) ?"
-        r"[A-Za-z0-9-]{1,63}+(?: ?(?:\.|\(dot\)|\[dot\]|(?<= )dot(?= )) ?[A-Za-z0-9-]{1,63}+){1,8}+"
+        r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+(?:"
+        r" ?(?:@|\(at\)|\[at\]) ?[A-Za-z0-9-]{1,63}+(?:(?:\.| ?\(dot\) ?| ?\[dot\] ?)[A-Za-z0-9-]{1,63}+){1,8}+"
+        r"| at [A-Za-z0-9-]{1,63}+(?: dot [A-Za-z0-9-]{1,63}+){1,8}+)"
     ),
     "ip": r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])",
     "card": r"(?<![0-9./_])[0-9]{4}([./_])[0-9]{4,6}\1[0-9]{4,5}(?:\1[0-9]{1,7})?(?![0-9./_])",
@@ -46,7 +48,7 @@ WIDE = {
 # Cheap tests that every text with a match passes.
 STRICT_HINT = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
 WIDE_HINT = {
-    "email": r"[(\[ ]at[)\] ]|@",
+    "email": r"[(\[]at[)\]]| at [A-Za-z0-9-]+ dot |@",
     "ip": r"[0-9A-Fa-f]:[0-9A-Fa-f]",
     "card": r"[0-9]{4}[./_][0-9]{4}",
     "phone": r"[0-9]{3}\)?[ .-][0-9]{3}[ .-]",
