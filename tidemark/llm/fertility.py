@@ -2,7 +2,7 @@
 
 A public vocabulary with byte fallback cuts every word into pieces. Three figures per document:
 characters per token, the share of tokens that are single fallback bytes, and the entropy of the
-document's tokens as a share of what as many tokens could have. Text in a language that the vocabulary
+document's tokens in bits. Text in a language that the vocabulary
 covers has figures in a known band; garbled encodings, symbol runs, random strings and loops fall outside.
 Bands are given per language, else per the script most of the letters belong to, else a wide one.
 
@@ -36,12 +36,12 @@ SPACES = b" \t\n\x0b\x0c\r"
 
 @dataclass(frozen=True)
 class Band:
-    """What a document may measure: characters per token, byte share at most, entropy share at least."""
+    """What a document may measure: characters per token, byte share at most, bits of entropy at least."""
 
     low: float
     high: float
     byte_share: float = 0.15
-    entropy: float = 0.45
+    entropy: float = 3.0
 
 
 # Latin-script languages take 1.5 to 8 characters a token in common vocabularies, others fewer.
@@ -55,7 +55,7 @@ SCRIPT_BANDS = {
     "latin": Band(1.1, 9.0),
     "cyrillic": Band(0.9, 6.0),
     "greek": Band(0.6, 5.0, byte_share=0.3),
-    "other": Band(0.2, 9.0, byte_share=0.95, entropy=0.3),
+    "other": Band(0.2, 9.0, byte_share=0.95),
 }
 # Below so many tokens the figures say little, and the bands are not applied.
 LEAST_TOKENS = 30
@@ -167,8 +167,7 @@ def script_of(text: Column) -> Column:
 def _in_band(band: Band) -> Column:
     per_token = F.col("word_chars") / F.col("n_tokens")
     share = F.col("n_bytes") / F.col("n_tokens")
-    spread = F.col("entropy") / F.log2(F.col("n_tokens").cast("double"))
-    return per_token.between(band.low, band.high) & (share <= band.byte_share) & (spread >= band.entropy)
+    return per_token.between(band.low, band.high) & (share <= band.byte_share) & (F.col("entropy") >= band.entropy)
 
 
 def base_failed() -> Column:
