@@ -1,4 +1,4 @@
 """All registered queries of the corpus operators, with their SQL where there is any."""
 
-from tidemark.llm import chat_format, decontam, fertility, html_main, mixing, near_dedup, url_ratio, weak_pii  # noqa: F401
+from tidemark.llm import chat_format, decontam, fertility, html_main, mixing, near_dedup, rollups, url_ratio, weak_pii  # noqa: F401
 from tidemark.llm.common import ORACLES, QUERIES  # noqa: F401
