@@ -1,4 +1,18 @@
 """All registered queries of the corpus operators, with their SQL where there is any."""
 
-from tidemark.llm import chat_format, decontam, fertility, html_main, mixing, near_dedup, rollups, url_ratio, weak_pii  # noqa: F401
-from tidemark.llm.common import ORACLES, QUERIES  # noqa: F401
+import corpus_pipeline
+from tidemark.llm import (  # noqa: F401
+    chat_format,
+    decontam,
+    fertility,
+    html_main,
+    mixing,
+    near_dedup,
+    recurrent_lm,
+    rollups,
+    url_ratio,
+    weak_pii,
+)
+from tidemark.llm.common import ORACLES, QUERIES
+
+QUERIES["pipeline"] = corpus_pipeline.run

@@ -46,19 +46,14 @@ def _pair(words: Column, word: Column, i: Column) -> Column:
     return F.xxhash64(word, F.coalesce(F.get(words, i + 1), F.lit("")))
 
 
-def find_windows(
+def hit_words(
     docs: DataFrame, items: DataFrame, window: int = WINDOW, keep: list[str] | None = None
-) -> DataFrame:
-    """The rows of ``docs`` with ``n_words``, ``n_hit``, ``n_items`` and ``items``.
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``docs`` with ``n_words``, ``n_hit`` and ``_found``, the windows that occur; and ``(item, window)``.
 
-    ``keep`` names the columns of ``docs`` to return, by default all.
-    ``n_hit`` counts words inside any occurrence of any window, ``items`` has the ids, as sorted
-    strings, of the items whose windows occur. Needs ``doc_id`` and ``text``, and ``item_id`` and
-    ``text`` of the items; columns of ``docs`` with the four names are replaced. Null and empty
-    texts have no words. Repeated item ids count once, a null one as the empty string. Rows with
-    one doc_id are searched each by itself.
+    ``keep`` names the columns of ``docs`` to return, by default all. See :func:`find_windows`.
     """
-    made = ("n_words", "n_hit", "n_items", "items")
+    made = ("n_words", "n_hit", "n_items", "items", "_found")
     own = [c for c in docs.columns if c not in made and (keep is None or c in keep)]
     windows = materialise(
         _windows(items, window).withColumn("window", F.array_join("words", " ")), "bench-windows"
@@ -124,7 +119,22 @@ def find_windows(
             F.array_distinct(F.transform("_true", lambda c: c["window"])).alias("_found"),
         )
     )
-    return _with_items(verified, windows.select("item", "window"))
+    return verified, windows.select("item", "window")
+
+
+def find_windows(
+    docs: DataFrame, items: DataFrame, window: int = WINDOW, keep: list[str] | None = None
+) -> DataFrame:
+    """The rows of ``docs`` with ``n_words``, ``n_hit``, ``n_items`` and ``items``.
+
+    ``keep`` names the columns of ``docs`` to return, by default all. ``n_hit`` counts words
+    inside any occurrence of any window, ``items`` has the ids, as sorted strings, of the items
+    whose windows occur. Needs ``doc_id`` and ``text``, and ``item_id`` and ``text`` of the items;
+    columns of ``docs`` with the four names are replaced. Null and empty texts have no words.
+    Repeated item ids count once, a null one as the empty string. Rows with one doc_id are
+    searched each by itself.
+    """
+    return _with_items(*hit_words(docs, items, window, keep))
 
 
 def _covered(spans: Column) -> Column:

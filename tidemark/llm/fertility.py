@@ -125,10 +125,10 @@ def measure(text: bytes, hashes: WordHashes, pieces: Pieces) -> tuple:
     )
 
 
-def measured(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """The rows of ``docs`` without ``text``, with the measures of each document."""
+def measured(docs: DataFrame, vocabulary: str = VOCABULARY, with_text: bool = False) -> DataFrame:
+    """The rows of ``docs``, without ``text`` unless asked for, with the measures of each document."""
     names = [m.split()[0] for m in _MEASURES.split(", ")]
-    own = [c for c in docs.columns if c not in ("text", *names)]
+    own = [c for c in docs.columns if c not in names and (with_text or c != "text")]
     rows = docs.select(*own, text_of("text").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,8 +179,9 @@ def judge_quality(
     vocabulary: str = VOCABULARY,
     languages: Mapping[str, Band] = LANGUAGE_BANDS,
     scripts: Mapping[str, Band] = SCRIPT_BANDS,
+    with_text: bool = False,
 ) -> DataFrame:
-    """The rows of ``docs`` without ``text``, with the measures, ``base_failed`` and ``kept``.
+    """The rows of ``docs`` with the measures, ``base_failed`` and ``kept``; ``text`` only ``with_text``.
 
     A null text has no words; it fails, as any of fewer than 20 words. A null or unknown
     ``lang``, or a table without that column, takes the band of the text's script. Columns with
@@ -195,7 +196,7 @@ def judge_quality(
         fits = F.when(F.col("_band") == name, _in_band(band)).otherwise(fits)
     fits = F.when(F.col("n_tokens") < LEAST_TOKENS, F.lit(True)).otherwise(fits)
     return (
-        measured(rows, vocabulary)
+        measured(rows, vocabulary, with_text)
         .withColumn("base_failed", base_failed())
         .withColumn("kept", ~F.col("base_failed") & F.coalesce(fits, F.lit(False)))
         .drop("_band")
