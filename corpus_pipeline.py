@@ -6,7 +6,9 @@ before the next one. ``doc_id`` names a document; a row without one is kept and
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontam, fertility, mixing, near_dedup, weak_pii
@@ -16,9 +18,25 @@ from tidemark.llm.common import materialise, table, text_of
 ORACLE_SQL = None
 
 
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _set_aside(docs: DataFrame) -> tuple[DataFrame, Callable[..., DataFrame]]:
+    """The documents with all further columns in one, whose name no operator uses, and the way back."""
+    usual = [c for c in docs.columns if c in COLUMNS]
+    others = [c for c in docs.columns if c not in COLUMNS]
+    packed = docs.select(*usual, F.struct(F.lit(0).alias("_0"), *[F.col(f"`{c}`") for c in others]).alias("_aside"))
+
+    def back(df: DataFrame, *more: Column) -> DataFrame:
+        return df.select(*[c if c in usual else F.col(f"_aside.`{c}`").alias(c) for c in docs.columns], *more)
+
+    return packed, back
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither the base rules nor the fertility bands reject."""
-    return fertility.judge_quality(docs, with_text=True).where("kept").select(*docs.columns)
+    docs, back = _set_aside(docs)
+    return back(fertility.judge_quality(docs, with_text=True).where("kept"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,32 +44,36 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Rows without an id are told apart by their texts. A row that repeats another, id and text, goes.
     """
+    docs, back = _set_aside(docs)
     mark = F.xxhash64(text_of("text"), F.char_length(text_of("text")))
     named = docs.withColumn("_mark", mark).withColumn("_id", F.coalesce("doc_id", -F.abs(F.shiftright("_mark", 1)) - 1))
     decided = near_dedup.near_duplicates(named.select(F.col("_id").alias("doc_id"), "text"))
     kept = decided.where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return named.join(kept, "_id", "left_semi").dropDuplicates(["_id", "_mark"]).select(*docs.columns)
+    return back(named.join(kept, "_id", "left_semi").dropDuplicates(["_id", "_mark"]))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than one word in twenty lies inside benchmark windows."""
+    docs, back = _set_aside(docs)
     found, _ = decontam.hit_words(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
-    return found.where(~decontam.contaminated()).select(*docs.columns)
+    return back(found.where(~decontam.contaminated()))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by the name of its kind; ``n_chars`` follows the text."""
+    docs, back = _set_aside(docs)
     found = weak_pii.with_spans(docs, weak_pii.fit(docs))
     clean = found.withColumn("text", weak_pii.redact(F.col("text"), F.col("spans")))
     if "n_chars" in docs.columns:
         count = F.char_length("text").cast(docs.schema["n_chars"].dataType)
         clean = clean.withColumn("n_chars", F.when(F.size("spans") > 0, count).otherwise(F.col("n_chars")))
-    return clean.select(*docs.columns)
+    return back(clean)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every copy of a document that the mix takes, numbered in ``copy``."""
-    return mixing.take_copies(mixing.mix_sources(docs)).select(*docs.columns, "copy")
+    """Every copy of a document that the mix takes, numbered in ``mix_copy``."""
+    docs, back = _set_aside(docs)
+    return back(mixing.take_copies(mixing.mix_sources(docs)), F.col("copy").alias("mix_copy"))
 
 
 STAGES = [
