@@ -21,6 +21,7 @@ from tidemark.llm.common import lower_ascii, materialise, query, table, text_of
 
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 13
+BROADCAST_WINDOWS = 500_000
 
 
 def alnum_words(text: Column) -> Column:
@@ -58,6 +59,9 @@ def hit_words(
     windows = materialise(
         _windows(items, window).withColumn("window", F.array_join("words", " ")), "bench-windows"
     )
+    # Windows come from the benchmark alone. As many as this fit any task; more are joined by shuffles.
+    small = windows.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS
+    held = F.broadcast if small else (lambda df: df)
     distinct = windows.select("window", "words").distinct()
     single = windows.where(F.size("words") == 1).limit(1).count() > 0
     shingles = distinct.select(
@@ -79,7 +83,7 @@ def hit_words(
     occurring = materialise(
         docs.select("doc_id", alnum_words(text_of("text")).alias("_words"))
         .select("doc_id", F.size("_words").alias("n"), F.posexplode(of_doc).alias("at", "shingle"))
-        .join(shingles.select("shingle").distinct(), "shingle"),
+        .join(held(shingles.select("shingle").distinct()), "shingle"),
         "bench-shingles",
     )
     counts = occurring.groupBy("shingle").agg(F.count("*").alias("n"))
@@ -95,7 +99,7 @@ def hit_words(
     )
     start = F.col("at") % F.col("n") - F.col("offset")
     candidates = materialise(
-        occurring.join(prefix, "shingle")
+        occurring.join(held(prefix), "shingle")
         .select("doc_id", start.alias("start"), "window", "length", "n")
         .where((F.col("start") >= 0) & (F.col("start") + F.col("length") <= F.col("n")))
         .groupBy("doc_id")
@@ -109,7 +113,7 @@ def hit_words(
     )
     verified = (
         docs.select(*dict.fromkeys([*own, "doc_id", "text"]))
-        .join(candidates, F.col("doc_id").eqNullSafe(F.col("_candidate_id")), "left")
+        .join(candidates.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_candidate_id")), "left")
         .withColumn("_words", alnum_words(text_of("text")))
         .withColumn("_true", F.coalesce(true, F.array().cast("array<struct<start:int,length:int,window:string>>")))
         .select(
