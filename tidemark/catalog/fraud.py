@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.catalog.registry import query
 from tidemark.operators import cleaning, library_models, logistic, metrics, scale
-from tidemark.operators.split import hash_split, split_number
+from tidemark.operators.split import hash_split, split_bounds, split_number
 from tidemark.plans import classification
 from tidemark.session import scratch_dir, spread
 from tidemark.sources import csv
@@ -71,11 +71,10 @@ def drop_nonfinite(spark, sf_dir):
 
 @query(
     "distinct_rows",
-    f"""with {FRAUD} select distinct round(l_quantity, 6) as l_quantity, round(l_discount, 6) as l_discount,
-        round(l_tax, 6) as l_tax, "Class" from fraud""",
+    f"""with {FRAUD} select distinct {rounded_sql(FRAUD_FEATURES)}, "Class" from fraud""",
 )
 def distinct_rows(spark, sf_dir):
-    return cleaning.distinct_rows(fraud(spark, sf_dir), ["l_quantity", "l_discount", "l_tax", "Class"])
+    return cleaning.distinct_rows(fraud(spark, sf_dir), [*FRAUD_FEATURES, "Class"])
 
 
 @query(
@@ -94,16 +93,44 @@ def csv_strict_scan(spark, sf_dir):
 
 # --- splits and scaling ------------------------------------------------------------------------
 
-BUCKET = "cast('0x' || substr(md5(row_key), 1, 8) as bigint) % 1000"
-SPLIT = f"case when {BUCKET} < 700 then 0 when {BUCKET} < 800 then 1 else 2 end"
+
+
+def split_sql(key: str, weights: list[float]) -> str:
+    hashed = f"cast('0x' || substr(md5(coalesce({key}, '')), 1, 8) as bigint)"
+    cases = " ".join(f"when {hashed} < {bound} then {i}" for i, bound in enumerate(split_bounds(weights)))
+    return f"case {cases} end"
+
+
+SPLIT = split_sql("row_key", classification.SPLIT)
 
 
 @query("hash_split", f"with {FRAUD} select row_key, {SPLIT} as split from fraud")
 def hash_split_query(spark, sf_dir):
-    number = split_number(F.col("row_key"), [0.7, 0.1, 0.2])
+    number = split_number(F.col("row_key"), classification.SPLIT)
     return fraud(spark, sf_dir).select("row_key", number.alias("split"))
 
 
+FINE_WEIGHTS = [0.9995, 0.0003, 0.0002]
+SOME_KEYS = "case when l_quantity <= 5 then null else row_key end"
+
+
+@query(
+    "hash_split_fine",
+    f"""with {FRAUD}, keyed as (select {SOME_KEYS} as key from fraud)
+    select cast({split_sql("key", FINE_WEIGHTS)} as int) as split, count(*) as n_rows, count(key) as n_keys
+    from keyed group by 1""",
+)
+def hash_split_fine(spark, sf_dir):
+    """Shares far below a thousandth, and null keys: the splits add up to all rows."""
+    keyed = fraud(spark, sf_dir).select(F.expr(SOME_KEYS).alias("key"))
+    parts = hash_split(keyed, "key", FINE_WEIGHTS)
+    counted = [
+        p.agg(F.lit(i).alias("split"), F.count("*").alias("n_rows"), F.count("key").alias("n_keys")).where("n_rows > 0")
+        for i, p in enumerate(parts)
+    ]
+    return counted[0].union(counted[1]).union(counted[2])
+
+
 @query(
     "assemble",
     f"""with {FRAUD} select row_key, {", ".join(f"round({c}, 6) as f_{i}" for i, c in enumerate(FRAUD_FEATURES))}
@@ -324,12 +351,15 @@ def _sgd_sql(iterations: int, step: float, reg: float) -> str:
 
 
 def _without_bias(spark, sf_dir) -> DataFrame:
-    return _scaled_arrays(spark, sf_dir).withColumn("features", F.slice("features", 1, len(FRAUD_FEATURES)))
+    """Sample-scaled features without bias, as the library route takes them."""
+    rows = _arrays(spark, sf_dir)
+    means, stds = scale.array_moments(rows.filter("split = 0"), len(FRAUD_FEATURES), sample=True)
+    return scale.scale_array(rows, means, stds).withColumn("features", F.slice("features", 1, len(FRAUD_FEATURES)))
 
 
 @query(
     "logreg_sgd",
-    f"""with {FRAUD}, {POPULATION_SCALED}, {_sgd_sql(3, 15.0, 0.01)}
+    f"""with {FRAUD}, {SAMPLE_SCALED}, {_sgd_sql(3, 15.0, 0.01)}
     select 15.0::double as step, 3 as iterations, {", ".join(f"round(w{i}, 6) as w_{i}" for i in range(len(FRAUD_FEATURES)))}
     from s3""",
 )
@@ -364,9 +394,8 @@ def logreg_fit(spark, sf_dir):
 
 @query("fraud_gd_job")
 def fraud_gd_job(spark, sf_dir):
-    """Whole gradient-descent job with a short grid."""
-    grid = logistic.param_grid(dict(logistic.GD_GRID_LISTS, num_epochs=[10]))
-    return classification.gd_job(fraud(spark, sf_dir), FRAUD_FEATURES, "Class", grid)
+    """Whole gradient-descent job over the full grid."""
+    return classification.gd_job(fraud(spark, sf_dir), FRAUD_FEATURES, "Class")
 
 
 # --- metrics -----------------------------------------------------------------------------------

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.functions.scalars import from_log_label, ratio_or_zero
+from tidemark.session import ensure_checkpoint_dir
 
+# Added to denominators, clip of hard labels, thresholds tried.
 EPSILON = 1e-10
 HARD_LABEL_CLIP = 1e-15
 DEFAULT_THRESHOLDS = [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]
@@ -182,20 +184,24 @@ def area_under_roc(
 ) -> DataFrame:
     """Exact area under the ROC curve, ties counted half.
 
-    Equal scores collapse first. The running count of negatives is taken inside score ranges and
+    Rows with a null or NaN score or a null label take no part. Equal scores collapse first. The running count of negatives is taken inside score ranges and
     shifted by the totals of the ranges below, so no single task sorts all scores. The range
     bounds come from a sketch and affect only balance, not the result.
     """
     cores = scores.sparkSession.sparkContext.defaultParallelism
     buckets = buckets or min(max(64, 2 * cores), 4096)
     known = scores.select(F.col(score).cast("double").alias("s"), (F.col(label) == 1).alias("y")).na.drop()
+    # Written out, as the bounds and the counts both read it.
+    ensure_checkpoint_dir(scores.sparkSession)
+    per_score = (
+        known.groupBy("s")
+        .agg(F.count_if(F.col("y")).alias("pos"), F.count_if(~F.col("y")).alias("neg"))
+        .checkpoint()
+    )
     steps = [i / buckets for i in range(1, buckets)]
-    bounds = known.approxQuantile("s", steps, 0.5 / buckets) if steps else []
+    bounds = per_score.approxQuantile("s", steps, 0.5 / buckets) if steps else []
     inner = sorted({b for b in bounds if float("-inf") < b < float("inf")})
     splits = [float("-inf"), *(inner or [0.0]), float("inf")]
-    per_score = known.groupBy("s").agg(
-        F.count_if(F.col("y")).alias("pos"), F.count_if(~F.col("y")).alias("neg")
-    )
     ranged = Bucketizer(splits=splits, inputCol="s", outputCol="range", handleInvalid="keep").transform(per_score)
     # At most ``buckets`` + 1 rows: small enough for one window and a broadcast.
     below = (

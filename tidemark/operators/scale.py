@@ -8,6 +8,7 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Fixed value: floor inside the root of a population deviation.
 VARIANCE_FLOOR = 1e-10
 
 
@@ -32,13 +33,21 @@ def feature_moments(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.agg(*aggregates).select(F.inline(F.array(*moments)))
 
 
-def array_moments(df: DataFrame, size: int, features: str = "features") -> tuple[list[float], list[float]]:
-    """Mean and floored population deviation per position, as two lists of ``size`` numbers."""
+def array_moments(
+    df: DataFrame, size: int, features: str = "features", sample: bool = False
+) -> tuple[list[float], list[float]]:
+    """Mean and deviation per position, as two lists of ``size`` numbers.
+
+    The population deviation has a small floor; the ``sample`` deviation, as the library scaler takes it, has none.
+    """
     aggregates = []
     for i in range(size):
-        aggregates += [F.avg(F.col(features)[i]), F.var_pop(F.col(features)[i])]
+        spread_of = F.stddev_samp if sample else F.var_pop
+        aggregates += [F.avg(F.col(features)[i]), spread_of(F.col(features)[i])]
     row = df.agg(*aggregates).first()
     means = list(row[0::2])
+    if sample:
+        return means, [v or 0.0 for v in row[1::2]]
     return means, [sqrt(v + VARIANCE_FLOOR) for v in row[1::2]]
 
 

@@ -60,7 +60,8 @@ def library_job(
         ("training_seconds", seconds),
         ("accuracy_train", summary.accuracy),
         ("accuracy_test", m["accuracy"]),
-        ("auc_train", summary.areaUnderROC),
+        ("auc_train", library_auc(model.transform(train))),
+        ("auc_train_summary", summary.areaUnderROC),
         ("auc_test", library_auc(predictions)),
         ("precision_test", m["precision"]),
         ("recall_test", m["recall"]),
@@ -92,7 +93,7 @@ def sgd_job(
 ) -> DataFrame:
     """Search step and iteration count by validation F1; test metrics come from the best model."""
     train, validation, test = _array_splits(data, key, columns, label)
-    means, stds = array_moments(train, len(columns))
+    means, stds = array_moments(train, len(columns), sample=True)
     # The library route has no intercept, so the appended bias position is cut off again.
     size = len(columns)
     train, validation, test = (
