@@ -30,8 +30,10 @@ from tidemark.streaming.sources import read_files
 WATERMARK = "10 seconds"
 
 CLOSED = "(select max(ts) from ticks) - interval 10 seconds"
-# Joins keep their last rows until the watermark passes them; compare up to a safe distance from the end.
-CUT_SQL = "(select max(ts) from events) - interval 2 days"
+# A tick of a symbol of its own, far enough ahead for the watermark to close everything before it.
+CLOSING_SYMBOL = "~closing"
+CLOSING_GAP = "INTERVAL 30 DAYS"
+PARTS = 3
 
 
 def _event_files(spark, sf_dir) -> DataFrame:
@@ -40,13 +42,24 @@ def _event_files(spark, sf_dir) -> DataFrame:
 
 
 def _tick_stream(spark, sf_dir) -> DataFrame:
-    return as_ticks(_event_files(spark, sf_dir)).withWatermark("timestamp", WATERMARK)
+    """All ticks in several files in order of time, one per batch, and the closing tick behind them."""
+    events = read_table(spark, sf_dir, "events")
+    path = scratch_dir(spark, "events")
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    step = (last - first) / PARTS
+    for n in range(PARTS):
+        part = events.filter(F.col("ts") >= F.lit(first + n * step)) if n else events
+        part = part.filter(F.col("ts") < F.lit(first + (n + 1) * step)) if n + 1 < PARTS else part
+        part.coalesce(1).write.mode("append").parquet(path)
+    closing = events.limit(1).withColumns(
+        {"event_type": F.lit(CLOSING_SYMBOL), "ts": F.lit(last) + F.expr(CLOSING_GAP)}
+    )
+    closing.coalesce(1).write.mode("append").parquet(path)
+    return as_ticks(read_files(spark, path, events.schema, files_per_batch=1)).withWatermark("timestamp", WATERMARK)
 
 
-def _before_cut(spark, sf_dir, df: DataFrame, column: str) -> DataFrame:
-    # One value: the last tick time.
-    cut = ticks(spark, sf_dir).agg((F.max("timestamp") - F.expr("INTERVAL 2 DAYS")).alias("cut")).first()["cut"]
-    return df.filter(F.col(column) <= F.lit(cut))
+def _without_closing(df: DataFrame) -> DataFrame:
+    return df.filter(F.col("symbol") != CLOSING_SYMBOL)
 
 
 @query("stream_tick_scan", """select event_type as symbol, round(value, 6) as price, ts as "timestamp" from events""")
@@ -68,17 +81,17 @@ def stream_sink_roundtrip(spark, sf_dir):
     f"""with {STATS}
     select wend as "timestamp", symbol, win as "window", round(avg_price, 6) as avg_price,
            round(std_price, 6) as std_price
-    from stats where wend <= {CLOSED}""",
+    from stats""",
 )
 def stream_window_stats(spark, sf_dir):
     stats = window_stats.window_stats_multi(_tick_stream(spark, sf_dir), DURATIONS)
-    return run_to_table(stats.drop("event_time"), "window-stats")
+    return _without_closing(run_to_table(stats.drop("event_time"), "window-stats"))
 
 
-@query("stream_window_pack", f"with {STATS} {PACK_SQL.replace('group by', f'where wend <= {CUT_SQL} group by')}")
+@query("stream_window_pack", f"with {STATS} {PACK_SQL}")
 def stream_window_pack(spark, sf_dir):
     packed = run_to_table(jobs.moving(_tick_stream(spark, sf_dir), DURATIONS), "window-pack")
-    return packed_stats_text(_before_cut(spark, sf_dir, packed, "timestamp"))
+    return packed_stats_text(_without_closing(packed))
 
 
 @query(
@@ -86,11 +99,11 @@ def stream_window_pack(spark, sf_dir):
     f"""with {STATS}
     select wend as "timestamp", symbol, win as "window", round(avg_price, 6) as avg_price,
            round(std_price, 6) as std_price
-    from stats where wend <= {CUT_SQL}""",
+    from stats""",
 )
 def stream_window_unpack(spark, sf_dir):
     unpacked = window_stats.unpack_windows(jobs.moving(_tick_stream(spark, sf_dir), DURATIONS))
-    return _before_cut(spark, sf_dir, run_to_table(unpacked, "window-unpack"), "timestamp")
+    return _without_closing(run_to_table(unpacked, "window-unpack"))
 
 
 LATE = "event_id % 10 = 3 and ts < (select max(ts) from events) - interval 2 days"
@@ -122,21 +135,20 @@ def stream_late_drop(spark, sf_dir):
     return spark.read.schema(stats.schema).parquet(f"{path}/stats")
 
 
-@query("stream_zscore", f"with {SCORES} {SCORES_SQL.replace('group by', f'where ts <= {CUT_SQL} group by')}")
+@query("stream_zscore", f"with {SCORES} {SCORES_SQL}")
 def stream_zscore(spark, sf_dir):
     records = run_to_table(jobs.zscores(_tick_stream(spark, sf_dir), DURATIONS), "zscore")
-    return scores_text(_before_cut(spark, sf_dir, records, "timestamp"))
+    return scores_text(_without_closing(records))
 
 
-@query("stream_lookahead", f"with {PAIRS} {CHANGE_SQL.replace('group by', f'where bts <= {CUT_SQL} group by')}")
+@query("stream_lookahead", f"with {PAIRS} {CHANGE_SQL}")
 def stream_lookahead(spark, sf_dir):
-    changes = run_to_table(jobs.changes(_tick_stream(spark, sf_dir), SPAN), "lookahead")
-    return _before_cut(spark, sf_dir, changes, "base_timestamp")
+    return _without_closing(run_to_table(jobs.changes(_tick_stream(spark, sf_dir), SPAN), "lookahead"))
 
 
 @query(
     "stream_lookahead_fanout",
-    f"""with {PAIRS}, changes as ({CHANGE_SQL.replace('group by', f'where bts <= {CUT_SQL} group by')})
+    f"""with {PAIRS}, changes as ({CHANGE_SQL})
     select base_timestamp as "timestamp", 'higher' as kind, time_to_increase as wait from changes
     union all select base_timestamp, 'lower', time_to_decrease from changes""",
 )
@@ -162,7 +174,7 @@ def stream_lookahead_fanout(spark, sf_dir):
                 F.col(f"d.{kind}_window").alias("wait"),
             )
         )
-    return _before_cut(spark, sf_dir, parts[0].unionByName(parts[1]), "timestamp")
+    return parts[0].unionByName(parts[1])
 
 
 @query(

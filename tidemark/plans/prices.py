@@ -20,6 +20,7 @@ from tidemark.sources.codec import decode_zscores, encode_change
 from tidemark.streaming.sinks import collection_writer, fan_out, start_topic
 from tidemark.streaming.sources import read_topic, tick_stream
 
+# Watermark delays of the jobs.
 MOVING_WATERMARK = "10 seconds"
 ZSCORE_WATERMARK = "10 seconds"
 CHANGE_WATERMARK = "25 seconds"
@@ -46,33 +47,47 @@ def routed(records: DataFrame) -> DataFrame:
     return unpack_zscores(records).filter(F.col("window").isNotNull())
 
 
-def moving_topic_job(spark, servers: str, source: str, target: str, checkpoint: str) -> StreamingQuery:
-    ticks = tick_stream(read_topic(spark, servers, source), MOVING_WATERMARK)
+def moving_topic_job(
+    spark, servers: str, source: str, target: str, checkpoint: str, watermark: str = MOVING_WATERMARK
+) -> StreamingQuery:
+    ticks = tick_stream(read_topic(spark, servers, source), watermark)
     return start_topic(moving(ticks), servers, target, f"{checkpoint}/{target}")
 
 
-def zscore_topic_job(spark, servers: str, source: str, target: str, checkpoint: str) -> StreamingQuery:
-    ticks = tick_stream(read_topic(spark, servers, source), ZSCORE_WATERMARK)
+def zscore_topic_job(
+    spark, servers: str, source: str, target: str, checkpoint: str, watermark: str = ZSCORE_WATERMARK
+) -> StreamingQuery:
+    ticks = tick_stream(read_topic(spark, servers, source), watermark)
     return start_topic(zscores(ticks), servers, target, f"{checkpoint}/{target}")
 
 
 def load_topic_job(
-    spark, servers: str, source: str, fmt: str, options_for: Callable[[str], dict[str, str]], checkpoint: str
+    spark,
+    servers: str,
+    source: str,
+    fmt: str,
+    options_for: Callable[[str], dict[str, str]],
+    checkpoint: str,
+    labels: list[str] | None = None,
 ) -> StreamingQuery:
     """Z-score messages into one collection per window label, with one scan and one query for all.
 
     ``options_for`` gives the connector options of a label, such as its collection name.
     """
     rows = routed(decode_zscores(read_topic(spark, servers, source, "latest")))
-    writer = collection_writer(fmt, list(WINDOW_LABELS.values()), options_for)
+    writer = collection_writer(fmt, labels or list(WINDOW_LABELS.values()), options_for)
     return fan_out(rows, [writer], f"{checkpoint}/{source}-load")
 
 
 def change_topic_job(
-    spark, servers: str, source: str, higher: str, lower: str, checkpoint: str
+    spark, servers: str, source: str, higher: str, lower: str, checkpoint: str, watermark: str = CHANGE_WATERMARK
 ) -> StreamingQuery:
-    """Both topics are written from one computed stream."""
-    ticks = tick_stream(read_topic(spark, servers, source, "latest"), CHANGE_WATERMARK)
+    """Both topics are written from one computed stream.
+
+    A topic only appends, so a batch that is replayed after a failure is sent again; its messages
+    carry the tick's time, by which readers keep one.
+    """
+    ticks = tick_stream(read_topic(spark, servers, source, "latest"), watermark)
 
     def to_topic(topic: str, column: str, field: str):
         def write(batch: DataFrame, batch_id: int) -> None:

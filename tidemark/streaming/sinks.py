@@ -81,13 +81,34 @@ def folder_writer(path: str, transform: Callable[[DataFrame], DataFrame] | None
     return write
 
 
+# Rows of a collection are told apart by these.
+COLLECTION_KEY = ("symbol", "timestamp", "window")
+FILE_FORMATS = ("parquet", "json", "csv", "orc")
+
+
 def collection_writer(fmt: str, labels: list[str], options_for: Callable[[str], dict[str, str]]) -> BatchWriter:
-    """Write each window label's rows to its own collection of a document store."""
+    """Write each window label's rows to its own collection of a document store.
+
+    A replayed batch changes nothing: a store replaces the documents of the same key, and files
+    go to a folder of the batch's id. A label that is not listed fails the batch; none is lost.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        unknown = batch.filter(~F.coalesce(F.col("window").isin(labels), F.lit(False)))
+        odd = [r["window"] for r in unknown.select("window").distinct().limit(5).collect()]
+        if odd:
+            raise ValueError(f"rows of unlisted windows: {odd}")
         for label in labels:
             part = batch.filter(F.col("window") == label)
-            part.write.format(fmt).mode("append").options(**options_for(label)).save()
+            if set(COLLECTION_KEY) <= set(batch.columns):
+                part = part.dropDuplicates(list(COLLECTION_KEY))
+            options = dict(options_for(label))
+            if fmt in FILE_FORMATS:
+                path = f"{options.pop('path')}/batch_id={batch_id}"
+                part.write.format(fmt).mode("overwrite").options(**options).save(path)
+            else:
+                keyed = {"operationType": "replace", "idFieldList": ",".join(COLLECTION_KEY), **options}
+                part.write.format(fmt).mode("append").options(**keyed).save()
 
     return write
 
