@@ -4,32 +4,49 @@ The tree grows one level per round. Each round reduces the rows to label sums pe
 value), map-side first, and takes thresholds, gains and winners from that table. Rows never leave
 the executors.
 
-Labels are summed as decimals with nine places. Sums are then independent of row order, and two
-features that split a node alike tie exactly, which the lowest-feature rule needs.
+Labels are summed as decimals with as many places as the largest label leaves room for, fifteen
+digits in all. Sums are then independent of row order, and two features that split a node alike tie
+exactly, which the lowest-feature rule needs. Rows with a null, NaN or infinite feature or label are left out
+of a fit, as the trip tables leave them out.
 """
 
 from __future__ import annotations
 
+from math import floor, log10
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.operators.tree_nodes import ROOT, NodeTree, child_of, sized
+from tidemark.operators.tree_nodes import DEEPEST, ROOT, NodeTree, child_of, sized
 from tidemark.session import ensure_checkpoint_dir
 
-LABEL_TYPE = "decimal(18,9)"
-SUM_TYPE = "decimal(38,9)"
+PLACES = 9
+DIGITS = 15
 # Rows of one group that a single sort may hold before its value range is narrowed further.
 SORT_ROWS = 200_000
 RANGE_BINS = 1024
 
 
-def value_sums(rows: DataFrame) -> DataFrame:
+def label_places(rows: DataFrame) -> int:
+    """Decimal places that keep fifteen digits of the largest label."""
+    largest = rows.agg(F.max(F.abs("label"))).first()[0] or 0.0
+    return min(max(DIGITS - 1 - floor(log10(largest)), 0), 30) if largest > 0 else PLACES
+
+
+def finite_rows(rows: DataFrame) -> DataFrame:
+    def finite(x: Column) -> Column:
+        return F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False))
+
+    return rows.filter(finite(F.col("label")) & F.forall("features", finite))
+
+
+def value_sums(rows: DataFrame, places: int = PLACES) -> DataFrame:
     """Label count and sum per (node, feature, value); repeated values collapse before the shuffle."""
     return (
         rows.select(
             "node",
-            F.col("label").cast(LABEL_TYPE).alias("y"),
+            F.col("label").cast(f"decimal(38,{places})").alias("y"),
             F.posexplode("features").alias("feature", "value"),
         )
         .groupBy("node", "feature", "value")
@@ -45,9 +62,12 @@ def median_splits(sums: DataFrame, groups_at_most: int, sort_rows: int = SORT_RO
 
     A large group is never sorted whole. Its range is cut into equal bins, the bin that holds the
     wanted rank becomes the new range, the bins below it are added up, and this repeats until what
-    is left fits one sort. Binning keeps order, so the result is exact.
+    is left fits one sort. Binning keeps order, so the result is exact. The end bins are for
+    infinities and NaN alone, and a range is measured by its finite values, so every round cuts it.
     """
     key = ["node", "feature"]
+    sum_type = sums.schema["s"].dataType
+    number = F.when(F.abs("value") < float("inf"), F.col("value"))
     ensure_checkpoint_dir(sums.sparkSession)
     whole = (
         sums.groupBy(*key)
@@ -55,15 +75,17 @@ def median_splits(sums: DataFrame, groups_at_most: int, sort_rows: int = SORT_RO
             F.count(F.lit(1)).alias("size"),
             F.min("value").alias("low"),
             F.max("value").alias("high"),
+            F.min(number).alias("finite_low"),
+            F.max(number).alias("finite_high"),
             F.sum("n").alias("n_all"),
-            F.sum("s").cast(SUM_TYPE).alias("s_all"),
+            F.sum("s").cast(sum_type).alias("s_all"),
         )
         .withColumn("rank", F.floor(F.col("size") / 2))
         .checkpoint()
     )
     totals = whole.filter(F.col("feature") == 0).select("node", F.col("n_all").alias("n_rows"), "s_all")
     ranges = whole.filter(F.col("size") >= 2).withColumns(
-        {"n_below": F.lit(0).cast("long"), "s_below": F.lit(0).cast(SUM_TYPE)}
+        {"n_below": F.lit(0).cast("long"), "s_below": F.lit(0).cast(sum_type)}
     )
 
     def inside() -> DataFrame:
@@ -73,8 +95,15 @@ def median_splits(sums: DataFrame, groups_at_most: int, sort_rows: int = SORT_RO
 
     carried = [*key, "rank", "n_all", "s_all", "n_below", "s_below"]
     while (ranges.agg(F.max("size")).first()[0] or 0) > sort_rows:
-        width = F.col("high") - F.col("low")
-        position = F.floor(F.try_divide(F.col("value") - F.col("low"), width) * RANGE_BINS)
+        # Halves, as the width of a range may be beyond the largest number.
+        inner = RANGE_BINS - 2
+        low, high = (F.col(c).cast("double") / 2 for c in ("finite_low", "finite_high"))
+        place = F.try_divide(F.col("value").cast("double") / 2 - low, high - low) * inner
+        position = (
+            F.when(F.col("value") == float("-inf"), 0)
+            .when(F.col("value") >= float("inf"), RANGE_BINS - 1)
+            .otherwise(1 + F.least(F.floor(F.coalesce(place, F.lit(0.0))), F.lit(inner - 1)))
+        )
         ahead = Window.partitionBy(*key).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
 
         def below(column: str) -> Column:
@@ -82,12 +111,14 @@ def median_splits(sums: DataFrame, groups_at_most: int, sort_rows: int = SORT_RO
 
         bins = (
             inside()
-            .withColumn("bin", F.least(F.coalesce(position, F.lit(0)), F.lit(RANGE_BINS - 1)))
+            .withColumn("bin", position)
             .groupBy(*carried, "bin")
             .agg(
                 F.count(F.lit(1)).alias("size"),
                 F.min("value").alias("low"),
                 F.max("value").alias("high"),
+                F.min(number).alias("finite_low"),
+                F.max(number).alias("finite_high"),
                 F.sum("n").alias("n_bin"),
                 F.sum("s").alias("s_bin"),
             )
@@ -101,11 +132,13 @@ def median_splits(sums: DataFrame, groups_at_most: int, sort_rows: int = SORT_RO
                 "size",
                 "low",
                 "high",
+                "finite_low",
+                "finite_high",
                 (F.col("rank") - F.col("before")).alias("rank"),
                 "n_all",
                 "s_all",
                 (F.col("n_below") + F.col("n_before")).alias("n_below"),
-                (F.col("s_below") + F.col("s_before")).cast(SUM_TYPE).alias("s_below"),
+                (F.col("s_below") + F.col("s_before")).cast(sum_type).alias("s_below"),
             )
             .checkpoint()
         )
@@ -117,7 +150,7 @@ def median_splits(sums: DataFrame, groups_at_most: int, sort_rows: int = SORT_RO
             {
                 "place": F.row_number().over(ordered),
                 "n_left": F.col("n_below") + F.sum("n").over(up_to),
-                "s_left": (F.col("s_below") + F.sum("s").over(up_to)).cast(SUM_TYPE),
+                "s_left": (F.col("s_below") + F.sum("s").over(up_to)).cast(sum_type),
             }
         )
         .filter(F.col("place") == F.col("rank") + 1)
@@ -159,16 +192,20 @@ def fit_median_tree(
     sort_rows: int = SORT_ROWS,
 ) -> NodeTree:
     """Grow a tree on ``(features array<double>, label)``, which should be persisted by the caller."""
+    if max_depth > DEEPEST:
+        raise ValueError(f"trees go down to depth {DEEPEST}")
     ensure_checkpoint_dir(rows.sparkSession)
     tree = NodeTree(list(feature_names))
+    rows = finite_rows(rows)
+    places = label_places(rows)
     current = rows.select("features", "label", F.lit(ROOT).cast("long").alias("node"))
     held: DataFrame | None = None
     for depth in range(max_depth + 1):
         nodes_at_most = 1 << depth
         if depth == max_depth:
-            tree.levels.append(_level(_node_totals(current), None, depth).checkpoint())
+            tree.levels.append(_level(_node_totals(current, places), None, depth).checkpoint())
             break
-        sums = value_sums(current).persist()
+        sums = value_sums(current, places).persist()
         splits, totals = median_splits(sums, nodes_at_most * len(feature_names), sort_rows)
         winners = best_splits(split_gains(splits, allow_empty_child))
         level = _level(totals, winners, depth).checkpoint()
@@ -197,10 +234,9 @@ def fit_median_tree(
     return tree
 
 
-def _node_totals(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("node").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("label").cast(LABEL_TYPE)).cast(SUM_TYPE).alias("s_all")
-    )
+def _node_totals(rows: DataFrame, places: int) -> DataFrame:
+    total = F.sum(F.col("label").cast(f"decimal(38,{places})"))
+    return rows.groupBy("node").agg(F.count(F.lit(1)).alias("n_rows"), total.alias("s_all"))
 
 
 def _level(totals: DataFrame, winners: DataFrame | None, depth: int) -> DataFrame:

@@ -13,8 +13,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 ROOT = 1
+# Node numbers double per level and must fit 64 bits.
+DEEPEST = 61
 # Texts of decision steps, reached leaves and tree lines.
 STEP_TEXT = "%s = %.4f %s %.4f, go %s"
 REACHED_TEXT = "Reached leaf, predict: %.4f (original scale: %.2f seconds)"
@@ -150,12 +153,36 @@ def decision_paths(rows: DataFrame, tree: NodeTree) -> DataFrame:
 def split_importances(tree: NodeTree) -> DataFrame:
     """Share of splits per feature; unused features get 0."""
     used = tree.nodes.filter(F.col("feature").isNotNull()).groupBy("feature").agg(F.count(F.lit(1)).alias("n"))
-    total = used.agg(F.sum("n").alias("total"))
     spark = used.sparkSession
     names = spark.createDataFrame(list(enumerate(tree.feature_names)), "feature int, name string")
-    # One row per feature name, and one total.
-    joined = names.join(used, "feature", "left").join(F.broadcast(total), F.lit(True), "left")
-    share = F.coalesce(F.try_divide(F.col("n"), F.col("total")), F.lit(0.0))
+    # One row per feature name; their total is a window over these few rows.
+    joined = names.join(used, "feature", "left")
+    total = F.sum("n").over(Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    share = F.coalesce(F.try_divide(F.col("n"), total), F.lit(0.0))
+    return joined.select("feature", "name", share.alias("importance"))
+
+
+def impurity_importances(tree: NodeTree) -> DataFrame:
+    """Share of the label variance that splits on each feature remove; unused features get 0."""
+    nodes = tree.nodes
+    side = lambda bit, s: nodes.filter(F.col("node") % 2 == bit).select(
+        F.floor(F.col("node") / 2).alias("node"), F.col("n_rows").alias(f"n_{s}"), F.col("prediction").alias(f"p_{s}")
+    )
+    splits = (
+        nodes.filter(F.col("feature").isNotNull())
+        .select("node", "feature")
+        .join(side(0, "left"), "node")
+        .join(side(1, "right"), "node")
+    )
+    n_left, n_right = F.col("n_left").cast("double"), F.col("n_right").cast("double")
+    removed = n_left * n_right / (n_left + n_right) * F.pow(F.col("p_left") - F.col("p_right"), 2)
+    used = splits.groupBy("feature").agg(F.sum(removed).alias("removed"))
+    names = used.sparkSession.createDataFrame(list(enumerate(tree.feature_names)), "feature int, name string")
+    joined = names.join(used, "feature", "left")
+    total = F.sum("removed").over(
+        Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    )
+    share = F.coalesce(F.try_divide(F.col("removed"), F.nullif(total, F.lit(0.0))), F.lit(0.0))
     return joined.select("feature", "name", share.alias("importance"))
 
 

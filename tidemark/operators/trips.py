@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import flag_to_int, haversine_km, is_peak, speed_kmh
+from tidemark.operators.cleaning import drop_nonfinite
 
 # Feature order, service area, and limits on duration (s), its error (s) and speed (km/h).
 TRIP_FEATURES = [
@@ -79,15 +80,28 @@ def add_trip_features(trips: DataFrame, iso_week: bool = False) -> DataFrame:
 
 
 def train_table(trips: DataFrame, inclusive_bounds: bool = False, iso_week: bool = False) -> DataFrame:
-    """``id``, the features and ``label = log1p(trip_duration)`` of clean, complete trips."""
+    """``id``, the features and ``label = log1p(trip_duration)`` of clean trips whose features are all finite."""
     rows = add_trip_features(clean_trips(trips, inclusive_bounds), iso_week)
     label = F.log1p(F.col("trip_duration")).alias("label")
-    return rows.select("id", *TRIP_FEATURES, label).na.drop()
+    return drop_nonfinite(rows.select("id", *TRIP_FEATURES, label).na.drop(), [*TRIP_FEATURES, "label"])
 
 
 def score_table(trips: DataFrame, iso_week: bool = False) -> DataFrame:
-    """``id`` and the features of trips to predict; needs no drop-off time or duration."""
-    return add_trip_features(trips, iso_week).select("id", *TRIP_FEATURES).na.drop(subset=TRIP_FEATURES)
+    """``id`` and the features of trips to predict; needs no drop-off time or duration.
+
+    Trips with a null or non-finite feature get no prediction; :func:`unscored` lists them.
+    """
+    return drop_nonfinite(add_trip_features(trips, iso_week).select("id", *TRIP_FEATURES), TRIP_FEATURES)
+
+
+def unscored(trips: DataFrame, iso_week: bool = False) -> DataFrame:
+    """``id`` of the trips that :func:`score_table` leaves out."""
+    rows = add_trip_features(trips, iso_week).select("id", *TRIP_FEATURES)
+    whole = F.lit(True)
+    for c in TRIP_FEATURES:
+        value = F.col(c).cast("double")
+        whole = whole & F.coalesce(~F.isnan(value) & (F.abs(value) < float("inf")), F.lit(False))
+    return rows.filter(~whole).select("id")
 
 
 def feature_array(table: DataFrame, columns: list[str] = TRIP_FEATURES) -> DataFrame:

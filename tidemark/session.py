@@ -75,10 +75,14 @@ def spread(df: DataFrame) -> DataFrame:
     """Rows to be scanned many times, in at least one partition per core.
 
     Small inputs arrive in few splits and would leave cores idle on every pass; large ones already
-    have more splits than cores and are left alone. Meant for plans without a shuffle.
+    have more splits than cores and are left alone. The planner's size estimate tells them apart,
+    so nothing runs.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return df.repartition(cores) if estimate < cores * split else df
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.cleaning import drop_nonfinite
+
+# The columns of the trip files, in order.
 TRIP_COLUMNS = [
     ("id", "string"),
     ("vendor_id", "double"),
@@ -33,6 +36,14 @@ def read_csv_strict(spark: SparkSession, path: str, schema: T.StructType | str)
     return spark.read.schema(schema).options(header=True, mode="FAILFAST").csv(path)
 
 
+def _no_headers(text: DataFrame) -> DataFrame:
+    """Joined files repeat their header line; a row that equals its column names is one."""
+    same = F.lit(True)
+    for name in text.columns:
+        same = same & F.col(name).eqNullSafe(name)
+    return text.filter(~same)
+
+
 def _text_schema(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
@@ -47,12 +58,13 @@ def _parsed(name: str, kind: str) -> Column:
 
 
 def read_trips_permissive(spark: SparkSession, path: str, train: bool = True) -> DataFrame:
-    """Trip CSV where a row with any number or time that does not parse is dropped."""
+    """Trip CSV where a row with any number or time that does not parse, or is not finite, is dropped."""
     columns = [(n, k) for n, k in TRIP_COLUMNS if train or n not in TRAIN_ONLY_COLUMNS]
     names = [n for n, _ in columns]
     text = spark.read.schema(_text_schema(names)).options(header=True, mode="DROPMALFORMED").csv(path)
     parsed = text.select(*[_parsed(n, k) for n, k in columns])
-    return parsed.na.drop(subset=[n for n, k in columns if k != "string"])
+    complete = parsed.na.drop(subset=[n for n, k in columns if k != "string"])
+    return drop_nonfinite(complete, [n for n, k in columns if k == "double"])
 
 
 def read_labelled(spark: SparkSession, path: str, header: list[str]) -> DataFrame:
@@ -60,7 +72,7 @@ def read_labelled(spark: SparkSession, path: str, header: list[str]) -> DataFram
 
     Gives ``(features array<double>, label int)``; any bad value fails the job.
     """
-    text = spark.read.schema(_text_schema(header)).options(header=True, mode="FAILFAST").csv(path)
+    text = _no_headers(spark.read.schema(_text_schema(header)).options(header=True, mode="FAILFAST").csv(path))
     label = F.replace(F.col(header[-1]), F.lit('"'), F.lit("")).cast("int").alias("label")
     return text.select(F.array(*[F.col(c).cast("double") for c in header[1:-1]]).alias("features"), label)
 
