@@ -26,7 +26,9 @@ ELSE_LINE = "Else"
 LEAF_LINE = "Predict: %.2f"
 # A level or node table is broadcast only up to this many rows (a few MB).
 BROADCAST_ROWS = 1 << 16
-# Nested-expression predict is meant for trees up to this depth.
+# Levels a row walks down per join.
+BLOCK_LEVELS = 6
+# The nested expression is one node after the other in code, and so is refused for deeper trees.
 EXPRESSION_DEPTH = 6
 
 
@@ -63,25 +65,65 @@ class NodeTree:
         return NodeTree(self.feature_names, [*kept[:-1], last])
 
 
-def _walk(rows: DataFrame, tree: NodeTree, name: str, start: Column, visit: Callable[[int], Column]) -> DataFrame:
-    """Follow each row down the tree, one join per level, and collect column ``name`` on the way.
+def _blocks(tree: NodeTree, first: int, levels: int) -> DataFrame:
+    """Subtrees of so many levels whose roots are at depth ``first``: ``(root, block)``.
 
-    ``visit`` gives the new value of the column from the current one and the node's columns.
+    ``block`` is an array in heap order: the root's place is 1, the children of ``p`` are ``2p`` and ``2p + 1``.
+    """
+    down = F.col("depth") - first
+    root = F.floor(F.col("node") / F.pow(F.lit(2), down)).cast("long")
+    place = (F.col("node") - (root - 1) * F.pow(F.lit(2), down).cast("long")).cast("int")
+    nodes = reduce(DataFrame.unionByName, tree.levels[first : first + levels])
+    entry = F.struct(
+        place.alias("place"), F.struct("feature", "threshold", F.coalesce("prediction", F.lit(0.0)).alias("prediction"))
+    )
+    filled = nodes.groupBy(root.alias("root")).agg(F.map_from_entries(F.collect_list(entry)).alias("at"))
+    places = F.sequence(F.lit(1), F.lit((1 << levels) - 1))
+    return filled.select("root", F.transform(places, lambda p: F.try_element_at("at", p)).alias("block"))
+
+
+def _walk(
+    rows: DataFrame,
+    tree: NodeTree,
+    name: str,
+    start: Column,
+    visit: Callable[[Column, Column, Column, Column], Column],
+) -> DataFrame:
+    """Follow each row down the tree and collect column ``name`` on the way.
+
+    ``visit`` gives its new value from the one so far, whether the row is at a node still, the node
+    ``(feature, threshold, prediction)`` and the feature's value. One join carries a row over
+    ``BLOCK_LEVELS`` levels. Roots of blocks are counted: few enough are broadcast; else the rows
+    that are still on their way, and only they, are shuffled to them.
     """
     kept = rows.columns
     walked = rows.select(*kept, F.lit(ROOT).cast("long").alias("node"), start.alias(name))
-    for depth, level in enumerate(tree.levels):
-        here = level.select(
-            "node",
-            F.col("prediction").alias("node_prediction"),
-            F.col("feature").alias("node_feature"),
-            F.col("threshold").alias("node_threshold"),
-        )
-        value = F.col("features")[F.col("node_feature")]
-        step = F.when(F.col("node_feature").isNotNull(), child_of(F.col("node"), value, F.col("node_threshold")))
-        walked = walked.join(sized(here, 1 << depth), "node", "left").select(
-            *kept, step.alias("node"), visit(depth).alias(name)
-        )
+    for first in range(0, len(tree.levels), BLOCK_LEVELS):
+        levels = min(BLOCK_LEVELS, len(tree.levels) - first)
+        blocks = _blocks(tree, first, levels)
+        over = 1 << levels
+
+        def step(so_far: Column, _: Column) -> Column:
+            alive = so_far["place"].isNotNull()
+            node = F.get(F.col("block"), so_far["place"] - 1)
+            value = F.get(F.col("features"), node["feature"])
+            child = 2 * so_far["place"] + F.when(value <= node["threshold"], 0).otherwise(1)
+            return F.struct(
+                F.when(node["feature"].isNotNull(), child).alias("place"),
+                visit(so_far["value"], alive, node, value).alias("value"),
+            )
+
+        here = F.struct(F.when(F.col("node").isNotNull(), F.lit(1)).alias("place"), F.col(name).alias("value"))
+        end = F.aggregate(F.sequence(F.lit(1), F.lit(levels)), here, step)
+        onward = F.col("node") * over + F.col("end.place") - over
+        if blocks.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+            met = walked.join(F.broadcast(blocks), F.col("node") == F.col("root"), "left")
+            walked = met.withColumn("end", end).select(*kept, onward.alias("node"), F.col("end.value").alias(name))
+        else:
+            walked = walked.checkpoint()
+            met = walked.filter(F.col("node").isNotNull()).join(blocks, F.col("node") == F.col("root"), "left")
+            moved = met.withColumn("end", end).select(*kept, onward.alias("node"), F.col("end.value").alias(name))
+            walked = moved.unionByName(walked.filter(F.col("node").isNull()))
     return walked.drop("node")
 
 
@@ -91,20 +133,24 @@ def predict_depths(rows: DataFrame, tree: NodeTree) -> DataFrame:
     A side that was empty in training predicts 0.
     """
 
-    def visit(depth: int) -> Column:
-        arrived = F.when(F.col("node").isNotNull(), F.coalesce(F.col("node_prediction"), F.lit(0.0)))
-        before = F.lit(0.0) if depth == 0 else F.col("predictions")[depth - 1]
-        return F.concat("predictions", F.array(F.coalesce(arrived, before)))
+    def visit(so_far: Column, alive: Column, node: Column, value: Column) -> Column:
+        reached = F.array(F.coalesce(node["prediction"], F.lit(0.0)))
+        return F.when(alive, F.concat(so_far, reached)).otherwise(so_far)
 
-    return _walk(rows, tree, "predictions", F.array().cast("array<double>"), visit)
+    walked = _walk(rows, tree, "predictions", F.array().cast("array<double>"), visit)
+    # From its leaf on a row's prediction stays.
+    missing = F.lit(tree.depth + 1) - F.size("predictions")
+    last = F.array_repeat(F.element_at("predictions", -1), missing)
+    return walked.withColumn("predictions", F.concat("predictions", last))
 
 
 def predict(rows: DataFrame, tree: NodeTree) -> DataFrame:
     """Add ``prediction`` on the label scale."""
-    if tree.depth <= EXPRESSION_DEPTH:
-        return rows.withColumn("prediction", predict_expression(tree))
-    walked = predict_depths(rows, tree)
-    return walked.withColumn("prediction", F.element_at("predictions", -1)).drop("predictions")
+
+    def visit(so_far: Column, alive: Column, node: Column, value: Column) -> Column:
+        return F.when(alive, F.coalesce(node["prediction"], F.lit(0.0))).otherwise(so_far)
+
+    return _walk(rows, tree, "prediction", F.lit(0.0), visit)
 
 
 def predict_expression(tree: NodeTree, features: str = "features") -> Column:
@@ -131,21 +177,20 @@ def decision_paths(rows: DataFrame, tree: NodeTree) -> DataFrame:
     """Add ``steps``: the decisions taken per row as text, ending with the leaf on both scales."""
     names = F.array(*[F.lit(n) for n in tree.feature_names])
 
-    def visit(depth: int) -> Column:
-        value = F.col("features")[F.col("node_feature")]
-        left = value <= F.col("node_threshold")
+    def visit(so_far: Column, alive: Column, node: Column, value: Column) -> Column:
+        left = value <= node["threshold"]
         decision = F.format_string(
             STEP_TEXT,
-            names[F.col("node_feature")],
+            F.get(names, node["feature"]),
             value,
             F.when(left, "<=").otherwise(">"),
-            F.col("node_threshold"),
+            node["threshold"],
             F.when(left, "left").otherwise("right"),
         )
-        reached = F.coalesce(F.col("node_prediction"), F.lit(0.0))
+        reached = F.coalesce(node["prediction"], F.lit(0.0))
         leaf = F.format_string(REACHED_TEXT, reached, F.expm1(reached))
-        step = F.array(F.when(F.col("node_feature").isNotNull(), decision).otherwise(leaf))
-        return F.when(F.col("node").isNull(), F.col("steps")).otherwise(F.concat("steps", step))
+        text = F.when(node["feature"].isNotNull(), decision).otherwise(leaf)
+        return F.when(alive, F.concat(so_far, F.array(text))).otherwise(so_far)
 
     return _walk(rows, tree, "steps", F.array().cast("array<string>"), visit)
 
