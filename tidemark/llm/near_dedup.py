@@ -240,15 +240,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         ),
         "hub-pairs",
     )
-    wanted = lambda ids: (
-        materialise(
-            rows.join(ids.distinct(), F.col("doc_id") == F.col("id"), "left_semi").mapInArrow(
-                _sets, "doc_id long, shingles array<long>"
-            ),
-            "sets",
-        ).withColumnRenamed("doc_id", "node")
-    )
-    sets = wanted(first.select(F.explode(F.array("a", "b")).alias("id")))
+    # Sets of all posted nodes, once. The texts are shuffled to them whatever the size of either side.
+    posted = postings.select(F.col("node").alias("id")).distinct()
+    sets = materialise(
+        rows.join(posted.hint("merge"), F.col("doc_id") == F.col("id"), "left_semi").mapInArrow(
+            _sets, "doc_id long, shingles array<long>"
+        ),
+        "sets",
+    ).withColumnRenamed("doc_id", "node")
     links = materialise(_confirmed(first, sets), "links")
     joined = materialise(components(links), "joined")
 
@@ -269,9 +268,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     pairs = materialise(_colliding(across, signed).select("a", "b"), "pairs")
     long = open_lists.where(F.col("holders") > LONG).select("hub", "node", "component").distinct()
     blocks = materialise(long, "long-lists")
-    sets = wanted(
-        pairs.select(F.explode(F.array("a", "b")).alias("id")).union(blocks.select(F.col("node").alias("id")))
-    )
     more = _confirmed(pairs, sets).union(_in_blocks(blocks, signed, sets))
     final = materialise(components(links.union(more)), "components").withColumnRenamed("id", "node")
 
