@@ -3,11 +3,12 @@
 import oracle
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from tidemark.catalog import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.01"
 SMALL = "/root/testdata/sf0.001"
-SQL = oracle_sql()
+SQL = ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -17,13 +18,13 @@ def duck():
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_matches_sql(spark, duck, name):
-    assert oracle.differences(queries()[name](spark, SF), duck, SQL[name]) == []
+    assert oracle.differences(QUERIES[name](spark, SF), duck, SQL[name]) == []
     spark.catalog.clearCache()
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - set(SQL)))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_gives_rows(spark, name):
-    assert queries()[name](spark, SMALL).count() > 0
+    assert QUERIES[name](spark, SMALL).count() > 0
     spark.catalog.clearCache()
 
 
@@ -33,5 +34,12 @@ def test_entry(spark):
     assert df.count() > 0
 
 
+def test_entry_lists_all():
+    from __spark_entry__ import oracle_sql, queries
+
+    assert set(QUERIES) <= set(queries())
+    assert set(oracle_sql()) <= set(queries())
+
+
 def test_every_oracle_has_a_query():
-    assert set(SQL) <= set(queries())
+    assert set(SQL) <= set(QUERIES)

@@ -11,7 +11,7 @@ BATCH = [
     "window_stats_multi", "window_pack", "zscore_join", "zscore_records", "zscore_dedup", "lookahead_pairs",
     "lookahead_pack", "first_change", "time_to_change", "trip_clean", "trip_features", "compare_predictions",
     "threshold_metrics", "auc_rank", "gd_step", "distinct_rows", "tree_thresholds", "tree_split_gain",
-    "median_tree_predict", "zscore_scale", "json_decode", "weighted_metrics",
+    "median_tree_predict", "median_tree_importance", "zscore_scale", "json_decode", "weighted_metrics",
 ]
 
 
@@ -40,3 +40,16 @@ def test_filters_reach_the_scan(spark):
 
     df = drop_nonfinite(read_table(spark, SF, "lineitem").select("l_tax"), ["l_tax"])
     assert "PushedFilters: [IsNotNull(l_tax)" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_tree_walks_join_blocks_only(spark):
+    """At depth 20 no row is shuffled to a level, with automatic broadcasts off too."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(queries()["tree_depth_grid"](spark, SF))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+    assert 1 <= plan.count("BroadcastHashJoin") <= 4
+    spark.catalog.clearCache()

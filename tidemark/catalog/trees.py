@@ -174,32 +174,63 @@ def median_tree_importance(spark, sf_dir):
 _NAMES = "[" + ", ".join(f"'{c}'" for c in TRIP_FEATURES) + "]"
 
 
-def _decision_sql(level: str) -> str:
+def _decision_sql(features: str, feature: str, threshold: str) -> str:
     # Spark prints exact halves upwards; the nudge is far below the six places of the data.
-    value, threshold = f"r.features[{level}.feature + 1]", f"{level}.threshold"
-    return f"""{_NAMES}[{level}.feature + 1] || ' = ' || printf('%.4f', {value} + 1e-9)
+    value = f"{features}[{feature} + 1]"
+    return f"""{_NAMES}[{feature} + 1] || ' = ' || printf('%.4f', {value} + 1e-9)
         || case when {value} <= {threshold} then ' <= ' else ' > ' end || printf('%.4f', {threshold} + 1e-9)
         || case when {value} <= {threshold} then ', go left' else ', go right' end"""
 
 
+def _leaf_sql(prediction: str) -> str:
+    return f"""'Reached leaf, predict: ' || printf('%.4f', {prediction}) || ' (original scale: '
+        || printf('%.2f', exp({prediction}) - 1) || ' seconds)'"""
+
+
 @query(
     "decision_paths",
     PREDICT_SQL
     + f"""
-    select r.id, {_decision_sql('a')} || '; '
-           || case when b.feature is null then '' else {_decision_sql('b')} || '; ' end
-           || 'Reached leaf' as steps
+    select r.id, {_decision_sql('r.features', 'a.feature', 'a.threshold')} || '; '
+           || case when b.feature is null then ''
+                   else {_decision_sql('r.features', 'b.feature', 'b.threshold')} || '; ' end
+           || {_leaf_sql('n.prediction')} as steps
     from leaf_rows r join level1 a on true
-    join level2 b on b.node = case when r.node >= 4 then r.node // 2 else r.node end""",
+    join level2 b on b.node = case when r.node >= 4 then r.node // 2 else r.node end
+    join (select * from level2 union all select * from level3) n on n.node = r.node""",
 )
 def decision_paths(spark, sf_dir):
-    """Decision path of every trip; the leaf numbers are left off, their text is checked in tests."""
+    """Decision path of every trip, the leaf on both scales included."""
     paths = tree_nodes.decision_paths(training_rows(spark, sf_dir), _fit(spark, sf_dir, 2))
-    steps = F.transform("steps", lambda s: F.regexp_replace(s, "^Reached leaf.*$", "Reached leaf"))
-    return paths.select("id", F.array_join(steps, "; ").alias("steps"))
+    return paths.select("id", F.array_join("steps", "; ").alias("steps"))
 
 
-@query("sample_paths")
+def _walk_sql(levels: int) -> str:
+    """The first three trips by id, walked down ``levels`` levels of the tree."""
+    steps = f"""w0 as (
+      select id, [{FEATURE_LIST}] as features, 1 as n1
+      from (select id, {features_sql()} from trips) order by id limit 3)"""
+    for i in range(1, levels + 1):
+        child = f"2 * n{i} + case when w.features[v.feature + 1] <= v.threshold then 0 else 1 end"
+        steps += f""",
+    w{i} as (
+      select w.*, v.feature as f{i}, v.threshold as t{i}, v.prediction as p{i},
+             case when v.feature is not null then {child} end as n{i + 1}
+      from w{i - 1} w left join level{i} v on v.node = w.n{i})"""
+    return steps
+
+
+@query(
+    "sample_paths",
+    f"""with {ROWS} {level_sql(1)} {level_sql(2)} {level_sql(3)} {leaves_sql(4)}, {_walk_sql(4)}
+    select id, concat("""
+    + ", ".join(
+        f"""case when n{i} is null then '' when f{i} is null then {_leaf_sql(f'p{i}')}
+             else {_decision_sql('features', f'f{i}', f't{i}')} || '; ' end"""
+        for i in range(1, 5)
+    )
+    + ") as steps from w4",
+)
 def sample_paths(spark, sf_dir):
     """The first three trips by id, with their decision paths."""
     sample = feature_array(score_table(trips(spark, sf_dir))).orderBy("id").limit(3)
@@ -210,11 +241,21 @@ def sample_paths(spark, sf_dir):
 @query("median_tree_deep")
 def median_tree_deep(spark, sf_dir):
     """Validation error by depth of one median tree grown ten levels."""
+    return _depth_errors(spark, sf_dir, list(range(1, 11)))
+
+
+@query("median_tree_full")
+def median_tree_full(spark, sf_dir):
+    """Validation error by depth of the whole default search, twenty levels."""
+    return _depth_errors(spark, sf_dir, library_models.TREE_DEPTHS)
+
+
+def _depth_errors(spark, sf_dir, depths: list[int]) -> DataFrame:
     train, validation = hash_split(training_rows(spark, sf_dir), "id", [0.8, 0.2])
     train = spread(train).persist()
-    tree = median_tree.fit_median_tree(train, TRIP_FEATURES, 10)
+    tree = median_tree.fit_median_tree(train, TRIP_FEATURES, max(depths))
     train.unpersist()
-    return library_models.depth_metrics(tree, validation, list(range(1, 11)))
+    return library_models.depth_metrics(tree, validation, depths)
 
 
 @query("tree_fit")

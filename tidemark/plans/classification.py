@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import time
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,8 +30,8 @@ from tidemark.operators.metrics import (
     with_hard_cross_entropy,
     with_rates,
 )
-from tidemark.operators.scale import array_moments, assemble, fit_scaler, scale_array
-from tidemark.operators.split import hash_split
+from tidemark.operators.scale import array_moments, scale_array, scale_columns
+from tidemark.operators.split import hash_split, split_number
 from tidemark.session import spread
 from tidemark.sources.csv import metrics_frame
 
@@ -41,13 +42,17 @@ def library_job(
     data: DataFrame, key: str, columns: list[str], label: str, max_iter: int = 10, weights: list[float] | None = None
 ) -> DataFrame:
     """Scale, fit by L-BFGS, and report coefficients and train / test metrics."""
-    rows = assemble(drop_nulls(data), columns, "raw_features").select(
-        key, "raw_features", F.col(label).cast("double").alias("label")
+    label_value = F.col(label).cast("double").alias("label")
+    rows = drop_nulls(data).select(
+        split_number(F.col(key), weights or SPLIT).alias("split"), *[F.col(c).cast("double") for c in columns], label_value
+    )
+    # Moments of the training rows in one aggregate; scaling stays in column expressions.
+    scaled = scale_columns(rows, rows.filter("split = 0"), columns).select(
+        "split", array_to_vector(F.array(*columns)).alias("features"), "label"
     )
-    splits = hash_split(rows, key, weights or SPLIT)
-    scaler = fit_scaler(splits[0])
-    train = spread(scaler.transform(splits[0]).select("features", "label")).persist()
-    test = scaler.transform(splits[-1]).select("features", "label")
+    last = len(weights or SPLIT) - 1
+    train = spread(scaled.filter("split = 0").drop("split")).persist()
+    test = scaled.filter(F.col("split") == last).drop("split")
     started = time.perf_counter()
     model = fit_logistic(train, max_iter)
     seconds = time.perf_counter() - started
