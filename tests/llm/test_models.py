@@ -68,6 +68,16 @@ def test_lanes_and_windows_do_not_change_scores():
     np.testing.assert_allclose(whole[0], whole[2], atol=1e-4)
 
 
+def test_lanes_hold_each_token_once_and_no_more():
+    lengths = np.array([20_000, *range(1, 120), 3])
+    place, first = gru.lanes(lengths, 500)
+    assert sorted(place[place >= 0]) == list(range(lengths.sum()))
+    assert first.sum() == len(lengths)
+    assert place.size <= 2 * lengths.sum() + 20_000
+    cut = recurrent_lm.stretches(np.array([1, 1024, 1025, 5000]))
+    assert cut.tolist() == [1, 1024, 1024, 1, 1024, 1024, 1024, 1024, 904]
+
+
 def test_probabilities_add_up():
     model = small_model()
     state = np.random.default_rng(1).standard_normal((1, 6)).astype(np.float32)

@@ -86,8 +86,10 @@ def lanes(lengths: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions of tokens by step and lane, -1 where a lane has ended, and where documents start.
 
     Documents go, longest first, to the lane with the fewest tokens; lanes are in order of length.
+    There are no more lanes than the longest document leaves filled, so the table is about as large as the texts.
     """
-    n = max(1, min(most, len(lengths)))
+    full = -(-int(lengths.sum()) // max(int(lengths.max(initial=1)), 1))
+    n = max(1, min(most, len(lengths), full))
     heap = [(0, k) for k in range(n)]
     rows: list[list[int]] = [[] for _ in range(n)]
     for d in np.argsort(-lengths, kind="stable"):

@@ -38,7 +38,9 @@ CLASSES = 24
 HIDDEN = 24
 LANES = 128
 ROUNDS = 2
-CHUNK_TOKENS = 250_000
+CHUNK_TOKENS = 1_000_000
+# In training a longer document is read in stretches of so many tokens, side by side; scoring never cuts.
+STRETCH = 1024
 # Distinct words of chunks that one task counts.
 BUCKET_WORDS = 500_000
 FOLDS, HELD_OUT = 5, 1
@@ -259,6 +261,14 @@ class _Tokens:
         return np.flatnonzero(np.repeat(docs, self.lengths))
 
 
+def stretches(lengths: np.ndarray, most: int = STRETCH) -> np.ndarray:
+    """Lengths of the pieces of documents, none above ``most``, in order."""
+    pieces = -(-lengths // most)
+    cut = np.full(int(pieces.sum()), most, np.int64)
+    cut[np.cumsum(pieces) - 1] = lengths - (pieces - 1) * most
+    return cut
+
+
 def _train(lexicon: Lexicon, weights: bytes):
     """Weights after a task's chunks, with the number of tokens they have read."""
 
@@ -270,7 +280,7 @@ def _train(lexicon: Lexicon, weights: bytes):
                 t = _Tokens(batch.slice(i, 1).to_pylist()[0], lexicon)
                 at = t.select(~t.held)
                 if len(at):
-                    place, first = gru.lanes(t.lengths[~t.held], LANES)
+                    place, first = gru.lanes(stretches(t.lengths[~t.held]), LANES)
                     used = t.tokens[at]
                     model.train(adam, t.inputs[at], t.kind[used], t.word[used], place, first)
                     n += len(at)
@@ -327,7 +337,7 @@ def _score(lexicon: Lexicon, weights: bytes, n_buckets: int):
                 counts = np.empty(len(t.words), np.int64)
                 found = sorted(row["found"], key=lambda x: x["bucket"])
                 counts[order] = np.frombuffer(b"".join(x["counts"] for x in found), np.int64)
-                place, first = gru.lanes(t.lengths, 2 * LANES)
+                place, first = gru.lanes(t.lengths, 4 * LANES)
                 own = model.score(t.inputs, t.kind[t.tokens], t.word[t.tokens], place, first)
                 rest = np.where(t.word < 0, np.log(counts + 0.5) - within[t.shapes], 0.0)
                 own += rest[t.tokens]
