@@ -228,7 +228,7 @@ class Model:
         p, h = self.p, self.layout.hidden
         steps, n = read.shape
         gate_slopes = np.empty((steps, n, 3 * h), np.float32)
-        slopes["recur"] = np.zeros_like(p["recur"])
+        throughs = np.empty((steps, n, 3 * h), np.float32)
         later = np.zeros((n, h), np.float32)
         for t in range(steps - 1, -1, -1):
             state, z, r, new, back = saved[t]
@@ -238,11 +238,13 @@ class Model:
             d_r = d_new * back * r * (1 - r)
             g = gate_slopes[t]
             g[:, :h], g[:, h : 2 * h], g[:, 2 * h :] = d_z, d_r, d_new
-            through = np.concatenate([d_z, d_r, d_new * r], 1)
-            slopes["recur"] += state.T @ through
+            through = throughs[t]
+            through[:, :h], through[:, h : 2 * h], through[:, 2 * h :] = d_z, d_r, d_new * r
             later = d * z + through @ p["recur"].T
             if starts[t].any():
                 later[starts[t]] = 0
+        before = np.stack([state for state, *_ in saved]).reshape(-1, h)
+        slopes["recur"] = before.T @ throughs.reshape(-1, 3 * h)
         flat = gate_slopes.reshape(-1, 3 * h)
         slopes["bias"] = flat.sum(0)
         ids = read.ravel()

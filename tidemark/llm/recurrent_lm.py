@@ -36,7 +36,7 @@ END = b" "
 VOCABULARY = 1024
 CLASSES = 24
 HIDDEN = 24
-LANES = 128
+LANES = 256
 ROUNDS = 2
 CHUNK_TOKENS = 1_000_000
 # In training a longer document is read in stretches of so many tokens, side by side; scoring never cuts.
@@ -337,7 +337,7 @@ def _score(lexicon: Lexicon, weights: bytes, n_buckets: int):
                 counts = np.empty(len(t.words), np.int64)
                 found = sorted(row["found"], key=lambda x: x["bucket"])
                 counts[order] = np.frombuffer(b"".join(x["counts"] for x in found), np.int64)
-                place, first = gru.lanes(t.lengths, 4 * LANES)
+                place, first = gru.lanes(t.lengths, 2 * LANES)
                 own = model.score(t.inputs, t.kind[t.tokens], t.word[t.tokens], place, first)
                 rest = np.where(t.word < 0, np.log(counts + 0.5) - within[t.shapes], 0.0)
                 own += rest[t.tokens]
