@@ -160,7 +160,7 @@ def op9_delta_rollups(spark, sf_dir):
     rollup.commit(1, signed)
 
     first = counted.groupBy("_text_mark").agg(F.min("doc_id").alias("_first"))
-    copies = counted.join(first, "_text_mark").where(F.col("doc_id") > F.col("_first"))
+    copies = counted.join(first.hint("merge"), "_text_mark").where(F.col("doc_id") > F.col("_first"))
     gone = copies.select(*LEDGER_COLUMNS, F.lit(True).alias("deleted"), F.lit(0).alias("seq"))
     ledger, signed = apply_changes(ledger, gone)
     signed = materialise(signed, "signed")
@@ -169,7 +169,7 @@ def op9_delta_rollups(spark, sf_dir):
 
     foreign = docs.where(~F.col("lang").eqNullSafe("en"))
     again = count_tokens(foreign, "byte_bpe_multi_50k").join(
-        ledger.select(F.col("doc_id").alias("_known")), F.col("doc_id").eqNullSafe(F.col("_known")), "left_semi"
+        ledger.select(F.col("doc_id").alias("_known")).hint("merge"), F.col("doc_id").eqNullSafe(F.col("_known")), "left_semi"
     )
     revised = again.select(*LEDGER_COLUMNS, F.lit(False).alias("deleted"), F.lit(0).alias("seq"))
     ledger, signed = apply_changes(ledger, revised)
