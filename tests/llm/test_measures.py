@@ -69,6 +69,30 @@ def test_quality_keeps_rows_and_columns(spark, edge_docs):
     assert judged.where("text is null").count() == 1
 
 
+def test_quality_bands_follow_the_corpus(spark):
+    """Junk that passes the base rule goes by the corpus's own figures, clean documents stay."""
+    path = "/root/testdata/sf0.01"
+    judged = fertility.op3_token_fertility(spark, path).where("not base_failed")
+    rows = judged.join(spark.read.parquet(f"{path}/labels.parquet"), "doc_id").select("quality", "kept").collect()
+    gone = lambda quality: [not r["kept"] for r in rows if r["quality"] == quality]
+    assert sum(gone(0)) > 0.7 * len(gone(0)) > 0
+    assert sum(gone(1)) < 0.02 * len(gone(1))
+
+
+def test_quality_bands_of_copies(spark):
+    """Many copies of one text neither narrow the bands nor change what others may measure."""
+    import random
+
+    rng = random.Random(5)
+    words = "river old town mill people bring grain autumn before war ended house green street water light".split()
+    docs = [(i, " ".join(rng.choices(words, k=60)), "en") for i in range(80)]
+    copies = [(100 + i, docs[0][1], "en") for i in range(400)]
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = lambda rows: {r[0] for r in fertility.judge_quality(frame(rows)).where("kept and doc_id < 100").select("doc_id").collect()}
+    assert len(kept(docs)) > 70
+    assert kept(docs + copies) == kept(docs)
+
+
 PATTERNS = {
     "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
     "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),

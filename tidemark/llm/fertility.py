@@ -5,9 +5,11 @@ characters per token, the share of tokens that are single fallback bytes, and th
 document's tokens in bits. Text in a language that the vocabulary
 covers has figures in a known band; garbled encodings, symbol runs, random strings and loops fall outside.
 Bands are given per language, else per the script most of the letters belong to, else a wide one.
+Inside them the corpus sets narrower ones: characters per token may lie only so far from the median of
+the documents of the same language or script and size, and entropy only so far below it.
 
 Words are tokenised one by one, and the pieces of frequent words are remembered, so the cost is that
-of the distinct words. Documents are measured row by row; nothing is shuffled.
+of the distinct words. Documents are measured once, row by row, and written; their figures alone are shuffled.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import query, table, text_of
+from tidemark.llm.common import materialise, query, table, text_of
 from tidemark.llm.shingles import WordHashes, window_hashes
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -59,6 +61,13 @@ SCRIPT_BANDS = {
 }
 # Below so many tokens the figures say little, and the bands are not applied.
 LEAST_TOKENS = 30
+# Distances from the median that the corpus allows, in those between the median and the quartile of that side.
+# Chosen on the labels of sf0.1; the README has the rates. All sizes together vary in size too, so they take twice as many.
+SPREAD, ALL_SIZES_SPREAD = 5.0, 10.0
+# That distance at least, as a share of the median and in bits: copies of one text must not shut out others.
+LEAST_STEP, LEAST_BITS = 0.01, 0.05
+# Fewer different documents say nothing of their size, then of their language or script.
+LEAST_DOCS = 30
 
 _MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_tokens long, n_bytes long, entropy double"
 
@@ -164,16 +173,62 @@ def script_of(text: Column) -> Column:
     return out
 
 
+def _per_token() -> Column:
+    return F.col("word_chars") / F.col("n_tokens")
+
+
 def _in_band(band: Band) -> Column:
-    per_token = F.col("word_chars") / F.col("n_tokens")
     share = F.col("n_bytes") / F.col("n_tokens")
-    return per_token.between(band.low, band.high) & (share <= band.byte_share) & (F.col("entropy") >= band.entropy)
+    return _per_token().between(band.low, band.high) & (share <= band.byte_share) & (F.col("entropy") >= band.entropy)
 
 
 def base_failed() -> Column:
     return (F.col("n_words") < 20) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 30)
 
 
+def usual_figures(measures: DataFrame) -> DataFrame:
+    """``(_band, _size, low, high, floor)``: what documents of a language or script may measure.
+
+    ``_size`` is the power of two below the number of tokens, -1 for all sizes together. Documents that
+    pass the base rules count, those with the same figures once. Figures are rounded before
+    their quartiles are taken, so a group keeps a bounded number of them.
+    """
+    figures = ("_band", "_size", "n_words", "word_chars", "n_tokens", "entropy")
+    quartiles = lambda c, digits: F.percentile(F.round(c, digits), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+    found = (
+        measures.where(~base_failed() & (F.col("n_tokens") >= LEAST_TOKENS))
+        .select(*figures)
+        .distinct()
+        .withColumn("_size", F.explode(F.array("_size", F.lit(-1))))
+        .groupBy("_band", "_size")
+        .agg(F.count("*").alias("n"), quartiles(_per_token(), 3).alias("t"), quartiles(F.col("entropy"), 2).alias("e"))
+        .where(F.col("n") >= LEAST_DOCS)
+    )
+    t, e = F.col("t"), F.col("e")
+    spread = F.when(F.col("_size") < 0, ALL_SIZES_SPREAD).otherwise(SPREAD)
+    return found.select(
+        "_band",
+        "_size",
+        (t[1] - spread * F.greatest(t[1] - t[0], LEAST_STEP * t[1])).alias("low"),
+        (t[1] + spread * F.greatest(t[2] - t[1], LEAST_STEP * t[1])).alias("high"),
+        (e[1] - spread * F.greatest(e[1] - e[0], F.lit(LEAST_BITS))).alias("floor"),
+    )
+
+
+def _with_usual(measures: DataFrame) -> DataFrame:
+    """The rows with ``_usual``: the figures of their size, else of their language or script, else null."""
+    usual = usual_figures(measures)
+    limits = F.struct("low", "high", "floor")
+    own = usual.where("_size >= 0").select("_band", "_size", limits.alias("_own"))
+    every = usual.where("_size < 0").select("_band", limits.alias("_every"))
+    return (
+        measures.join(F.broadcast(own), ["_band", "_size"], "left")
+        .join(F.broadcast(every), "_band", "left")
+        .withColumn("_usual", F.coalesce("_own", "_every"))
+        .drop("_own", "_every")
+    )
+
+
 def judge_quality(
     docs: DataFrame,
     vocabulary: str = VOCABULARY,
@@ -185,7 +240,7 @@ def judge_quality(
 
     A null text has no words; it fails, as any of fewer than 20 words. A null or unknown
     ``lang``, or a table without that column, takes the band of the text's script. Columns with
-    the names of measures are replaced, others pass through.
+    the names of measures are replaced, others pass through. The measured rows are written at once.
     """
     language = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
     rows = docs.drop("base_failed", "kept").withColumn(
@@ -194,12 +249,18 @@ def judge_quality(
     fits = F.lit(True)
     for name, band in {**scripts, **languages}.items():
         fits = F.when(F.col("_band") == name, _in_band(band)).otherwise(fits)
+    usual = _per_token().between(F.col("_usual.low"), F.col("_usual.high")) & (F.col("entropy") >= F.col("_usual.floor"))
+    fits = fits & (F.col("_usual").isNull() | usual)
     fits = F.when(F.col("n_tokens") < LEAST_TOKENS, F.lit(True)).otherwise(fits)
+    size = F.floor(F.log2(F.greatest("n_tokens", F.lit(1)))).cast("int")
+    measures = materialise(measured(rows, vocabulary, with_text).withColumn("_size", size), "fertility")
+    order = [c for c in measures.columns if c not in ("_band", "_size")]
     return (
-        measured(rows, vocabulary, with_text)
+        _with_usual(measures)
+        .select(*[F.col(f"`{c}`") for c in order], "_band", "_usual")
         .withColumn("base_failed", base_failed())
         .withColumn("kept", ~F.col("base_failed") & F.coalesce(fits, F.lit(False)))
-        .drop("_band")
+        .drop("_band", "_usual")
     )
 
 
