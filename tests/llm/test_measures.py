@@ -166,6 +166,27 @@ def test_wider_candidates_and_clean_texts(spark):
     assert cut(2) == [] and cut(3) == []
 
 
+def test_parts_of_runs_that_fail(spark):
+    """Valid cards side by side or behind another number, and a phone with an IP behind it, are found."""
+    cards = ("4111 1111 1111 1111", "7536784127813050", "2353820953013749")
+    sure = [f"call me: phone +1 (743) 555-38{i:02d} or see {cards[i % 3]} now" for i in range(60)]
+    rest = [
+        "so 7536784127813050 4845168114407329 and",
+        "des +1 (826) 555-4081 190.137.223.204 du",
+        "see 1234 4111 1111 1111 1111 there",
+        "pay by card 4111.1111.1111.1111 12 new",
+        "run 12345678901234567890 and 1234567890123456 1234567890123456 only",
+    ]
+    df = spark.createDataFrame(list(enumerate(sure + rest)), "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in weak_pii.with_spans(df, weak_pii.fit(df)).collect()}
+    cut = lambda i: [(s["kind"], rest[i][s["start"] : s["end"]]) for s in rows[60 + i]["spans"]]
+    assert cut(0) == [("card", "7536784127813050"), ("card", "4845168114407329")] and not rows[60]["base"]
+    assert cut(1) == [("ip", "190.137.223.204"), ("phone", "+1 (826) 555-4081")]
+    assert ("card", "4111 1111 1111 1111") in cut(2)
+    assert cut(3) == [("card", "4111.1111.1111.1111")]
+    assert cut(4) == []
+
+
 def test_em_finds_the_labeler_that_is_wrong():
     counts = {(1, 1, 1): 40, (-1, -1, 1): 55, (-1, -1, -1): 50, (1, 1, -1): 45, (1, -1, 1): 3, (-1, 1, -1): 3}
     belief = weak_pii.expectation_maximisation(counts)

@@ -2,6 +2,8 @@
 
 Strict patterns with checks give the base spans. Wider patterns give further candidates: written-out
 addresses, phone numbers without a plus, card numbers with other separators, long IP addresses.
+Strict matches that fail their check give their parts: card numbers inside a run of digits, the front of a
+phone run that goes on into something else.
 Labelers vote on every candidate, for, against or not at all: the strict pattern with its check, a
 gazetteer (known endings, issuer and country prefixes, reserved ranges), the words in front, and
 the characters around. Expectation-maximisation over the counts of vote patterns estimates how far
@@ -74,6 +76,10 @@ GAZETTEER = {
     # Country codes in front, or a leading area code.
     "phone": r"^(?:\+|00)?(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])|^\(?[2-9][0-9]{2}\)?",
 }
+# A part of a run that is written as a card is, in one group or the usual ones; others may pass their check by chance.
+CARD_GROUPS = r"^(?:[0-9]{13,19}|[0-9]{4}([\x20-])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|[0-9]{4}([\x20-])[0-9]{6}\2[0-9]{5})$"
+# Digits of a card and of a phone number at most, and so many groups of digits.
+MOST_CARD, MOST_PHONE = 19, 15
 SHAPES = 3
 ROUNDS = 50
 
@@ -152,7 +158,7 @@ def base_spans(text: Column, kind: str) -> Column:
     return F.filter(_matches(text, STRICT[kind], STRICT_HINT[kind]), lambda s: _valid(kind, s["value"]))
 
 
-def _votes(text: Column, kind: str, span: Column, strict: bool) -> tuple[list[Column], Column]:
+def _votes(text: Column, kind: str, span: Column, strict: bool, part: bool = False) -> tuple[list[Column], Column]:
     """Votes of the four labelers, 1, 0 or -1, and the shape class of a candidate."""
     value = span["value"]
     before = lower_ascii(
@@ -160,6 +166,8 @@ def _votes(text: Column, kind: str, span: Column, strict: bool) -> tuple[list[Co
     )
     if strict:
         pattern = F.when(_valid(kind, value), 1).otherwise(-1)
+    elif part:
+        pattern = F.when(value.rlike(CARD_GROUPS), 1).otherwise(0) if kind == "card" else F.lit(1)
     elif kind == "card":
         pattern = F.when(_valid(kind, value), 0).otherwise(-1)
     else:
@@ -176,36 +184,101 @@ def _votes(text: Column, kind: str, span: Column, strict: bool) -> tuple[list[Co
     return [pattern, gazetteer, context, around], shape
 
 
-def _candidates(text: Column, kind: str) -> Column:
-    """Strict matches, failed ones too, and wide matches beside them, with votes and shape."""
+def _overlap(a: Column, b: Column) -> Column:
+    return (a["start"] < b["end"]) & (b["start"] < a["end"])
 
-    def described(span: Column, strict: bool) -> Column:
-        votes, shape = _votes(text, kind, span, strict)
-        return F.struct(
-            F.lit(kind).alias("kind"),
-            F.array(*[v.cast("int") for v in votes]).alias("votes"),
-            shape.alias("shape"),
+
+def _piece(run: Column, start: Column, end: Column) -> Column:
+    """The span of a run's characters from ``start`` to before ``end``."""
+    return F.struct(
+        (run["start"] + start).alias("start"),
+        (run["start"] + end).alias("end"),
+        F.substring(run["value"], start + 1, end - start).alias("value"),
+    )
+
+
+def _cards_inside(run: Column) -> Column:
+    """Every row of groups of digits in a run that passes the check of cards."""
+
+    def rows(groups: Column) -> Column:
+        last = F.size(groups) - 1
+
+        def at(i: Column) -> Column:
+            ends = F.sequence(i, F.least(i + MOST_CARD - 1, last))
+            pieces = F.transform(ends, lambda j: _piece(run, groups[i]["start"], groups[j]["end"]))
+            return F.filter(pieces, lambda s: _valid("card", s["value"]))
+
+        return F.flatten(F.transform(F.sequence(F.lit(0), last), at))
+
+    return F.flatten(F.transform(F.array(_matches(run["value"], "[0-9]++", "[0-9]")), rows))
+
+
+def _phone_in_front(run: Column, others: Column) -> Column:
+    """The longest front of a run that passes the check of phones and meets none of the other spans."""
+
+    def fronts(groups: Column) -> Column:
+        ends = F.slice(groups, F.lit(1), F.lit(MOST_PHONE))
+        pieces = F.transform(ends, lambda g: _piece(run, F.lit(0), g["end"]))
+        fit = F.filter(pieces, lambda s: _valid("phone", s["value"]) & ~F.exists(others, lambda o: _overlap(s, o)))
+        return F.slice(fit, F.lit(-1), F.lit(1))
+
+    return F.flatten(F.transform(F.array(_matches(run["value"], "[0-9]++", "[0-9]")), fronts))
+
+
+def _found(docs: DataFrame, own: Sequence[str]) -> DataFrame:
+    """The columns ``own`` and ``_text``, with the matches of each kind: ``_strict_*``, ``_base_*`` those that
+    pass the check, ``_part_*`` parts of those that fail, ``_wide_*`` wide matches beside base spans and parts."""
+    text = F.col("_text")
+    none = F.array().cast(SPAN)
+    rows = docs.select(*own, text_of("text").alias("_text"))
+    rows = rows.select("*", *[_matches(text, STRICT[kind], STRICT_HINT[kind]).alias(f"_strict_{kind}") for kind in KINDS])
+    base = lambda kind: F.filter(f"_strict_{kind}", lambda s: _valid(kind, s["value"]))
+    rows = rows.select("*", *[base(kind).alias(f"_base_{kind}") for kind in KINDS])
+    failed = lambda kind, most: F.filter(
+        f"_strict_{kind}", lambda s: (F.char_length(_digits(s["value"])) > most) & ~_valid(kind, s["value"])
+    )
+    cards = F.flatten(F.transform(failed("card", 12), _cards_inside))
+    rows = rows.select("*", cards.alias("_part_card"), none.alias("_part_email"), none.alias("_part_ip"))
+    sure = F.filter("_part_card", lambda s: s["value"].rlike(CARD_GROUPS))
+    others = F.concat("_base_ip", "_base_card", sure)
+    phones = F.flatten(F.transform(failed("phone", MOST_PHONE), lambda run: _phone_in_front(run, others)))
+    rows = rows.select("*", phones.alias("_part_phone"))
+
+    def wide(kind: str) -> Column:
+        taken = F.concat(f"_base_{kind}", f"_part_{kind}")
+        return F.filter(
+            _matches(text, WIDE[kind], WIDE_HINT[kind]), lambda w: ~F.exists(taken, lambda s: _overlap(s, w))
         )
 
-    strict = F.transform(_matches(text, STRICT[kind], STRICT_HINT[kind]), lambda s: described(s, True))
-    wide = F.transform(_wide_only(text, kind), lambda s: described(s, False))
-    return F.concat(strict, wide)
+    return rows.select("*", *[wide(kind).alias(f"_wide_{kind}") for kind in KINDS])
 
 
-def _wide_only(text: Column, kind: str) -> Column:
-    strict = _matches(text, STRICT[kind], STRICT_HINT[kind])
-    return F.filter(
-        _matches(text, WIDE[kind], WIDE_HINT[kind]),
-        lambda w: ~F.exists(strict, lambda s: (s["start"] < w["end"]) & (w["start"] < s["end"])),
+def _candidates(kind: str) -> Column:
+    """Strict matches, failed ones too, their parts and wide matches beside them, with votes and shape."""
+
+    def described(strict: bool, part: bool):
+        def of(span: Column) -> Column:
+            votes, shape = _votes(F.col("_text"), kind, span, strict, part)
+            return F.struct(
+                F.lit(kind).alias("kind"),
+                F.array(*[v.cast("int") for v in votes]).alias("votes"),
+                shape.alias("shape"),
+            )
+
+        return of
+
+    return F.concat(
+        F.transform(f"_strict_{kind}", described(True, False)),
+        F.transform(f"_part_{kind}", described(False, True)),
+        F.transform(f"_wide_{kind}", described(False, False)),
     )
 
 
 def vote_counts(docs: DataFrame) -> DataFrame:
     """``(kind, votes, shape, n)`` over the candidates of all texts."""
-    text = text_of("text")
-    every = F.concat(*[_candidates(text, kind) for kind in KINDS])
+    every = F.concat(*[_candidates(kind) for kind in KINDS])
     return (
-        docs.select(F.explode(every).alias("c"))
+        _found(docs, ()).select(F.explode(every).alias("c"))
         .groupBy(F.col("c.kind").alias("kind"), F.col("c.votes").alias("votes"), F.col("c.shape").alias("shape"))
         .agg(F.count("*").alias("n"))
     )
@@ -287,7 +360,7 @@ def with_spans(docs: DataFrame, model: Model) -> DataFrame:
     points, ends are exclusive. Null and empty texts have no spans. Columns of the two names are
     replaced, others pass through.
     """
-    text = text_of("text")
+    text = F.col("_text")
 
     def named(kind: str, spans: Column) -> Column:
         return F.transform(
@@ -295,16 +368,19 @@ def with_spans(docs: DataFrame, model: Model) -> DataFrame:
         )
 
     def added(kind: str) -> Column:
-        def keeps(span: Column) -> Column:
-            votes, shape = _votes(text, kind, span, False)
-            return model.keeps(kind, votes, shape)
+        def keeps(part: bool):
+            def of(span: Column) -> Column:
+                votes, shape = _votes(text, kind, span, False, part)
+                return model.keeps(kind, votes, shape)
+
+            return of
 
-        return F.filter(_wide_only(text, kind), keeps)
+        return F.concat(F.filter(f"_part_{kind}", keeps(True)), F.filter(f"_wide_{kind}", keeps(False)))
 
     own = [c for c in docs.columns if c not in ("base", "spans")]
-    made = docs.select(
+    made = _found(docs, own).select(
         *own,
-        *[base_spans(text, kind).alias(f"_base_{kind}") for kind in KINDS],
+        *[f"_base_{kind}" for kind in KINDS],
         *[(added(kind) if kind in model.weights else F.array().cast(SPAN)).alias(f"_more_{kind}") for kind in KINDS],
     )
     return made.select(
