@@ -1,4 +1,6 @@
+import math
 import os
+import random
 import sys
 
 import pyarrow as pa
@@ -69,6 +71,19 @@ def edge_dir(tmp_path_factory):
             ["b", "a\\<|im_end|>", "a", None, "<\\|im_start|>\\\\|", "x", "null id", "<\\n", "same\n\n", "😀 <|im_start|>assistant\nhi"]
         ),
     )
+    r = random.Random(7)
+    vector = lambda: [r.gauss(0, 0.2) for _ in range(64)]
+    same = vector()
+    vectors = [vector() for _ in range(60)] + [same] * 30
+    vectors += [None, [], same[:63], same + [0.1], [None] + same[1:], [math.nan] + same[1:], same[:63] + [math.inf], [-500_000.25] + same[1:]]
+    ids = [None if i in (3, 70) else 5 if i in (5, 6) else i for i in range(len(vectors))]
+    write(
+        "embeddings",
+        vec_id=pa.array(ids, pa.int64()),
+        embedding=pa.array(vectors, pa.list_(pa.float32())),
+        label=pa.array([0] * len(vectors), pa.int32()),
+        cluster=pa.array(["mine"] * len(vectors)),
+    )
     return str(path)
 
 
@@ -81,6 +96,7 @@ def empty_dir(tmp_path_factory):
         "benchmark": [("item_id", n), ("text", s)],
         "conversations": [("conv_id", n), ("turn", n), ("role", s), ("text", s)],
         "pages": [("page_id", n), ("url", s), ("html", s)],
+        "embeddings": [("vec_id", n), ("embedding", pa.list_(pa.float32())), ("label", pa.int32())],
     }.items():
         schema = pa.schema(fields)
         pq.write_table(schema.empty_table(), f"{path}/{name}.parquet")

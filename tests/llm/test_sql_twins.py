@@ -7,7 +7,7 @@ import pytest
 from tidemark.llm import catalog
 
 SF = "/root/testdata/sf0.01"
-TABLES = ("documents", "benchmark", "conversations")
+TABLES = ("documents", "benchmark", "conversations", "embeddings")
 
 
 def over(path):

@@ -6,8 +6,11 @@ from tidemark.llm import (  # noqa: F401
     decontam,
     fertility,
     html_main,
+    manifest,
     mixing,
     near_dedup,
+    packing,
+    pivot_clusters,
     recurrent_lm,
     rollups,
     url_ratio,
