@@ -5,17 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.catalog.fraud import split_sql
 from tidemark.catalog.registry import query
 from tidemark.catalog.trips import DISTANCE, TRIPS, clean_sql, features_sql
 from tidemark.functions.scalars import from_log_label
 from tidemark.operators import library_models, median_tree, tree_nodes
 from tidemark.operators.split import hash_split
 from tidemark.operators.trips import TRIP_FEATURES, feature_array, score_table, train_table
-from tidemark.plans.regression import result_tables, trip_job
+from tidemark.plans.regression import SPLIT, result_tables, trip_job
 from tidemark.session import spread
 from tidemark.sources.tables import trips
 
 N_FEATURES = len(TRIP_FEATURES)
+TRAIN = split_sql("id", SPLIT)
 
 # Distances that are equal on paper may differ in the last bit between engines; six places keep
 # the distinct values, and so the medians, the same in both.
@@ -238,20 +240,46 @@ def sample_paths(spark, sf_dir):
     return paths.select("id", F.array_join("steps", "; ").alias("steps"))
 
 
-@query("median_tree_deep")
+def depth_errors_sql(depth: int) -> str:
+    """Errors on held-out trips by depth, of a tree grown on the others: every level of growth, then of the walk, is one step."""
+    levels = "".join(level_sql(n) for n in range(1, depth + 1)) + leaves_sql(depth + 1)
+    walk, errors = "", []
+    for n in range(1, depth + 2):
+        before = "select id, label, features, 1 as node, cast(null as double) as prediction from held" if n == 1 else f"select * from walk{n - 1}"
+        walk += f""",
+    walk{n} as (
+      select id, label, w.features,
+             case when v.feature is not null
+                  then 2 * w.node + case when w.features[v.feature + 1] <= v.threshold then 0 else 1 end end as node,
+             coalesce(v.prediction, w.prediction) as prediction
+      from ({before}) w left join level{n} v on v.node = w.node)"""
+        if n > 1:
+            errors.append(f"""
+    select {n - 1} as depth, round(sqrt(avg(power(exp(label) - exp(prediction), 2))), 6) as rmse,
+           round(1 - sum(power(exp(label) - exp(prediction), 2)) / (var_pop(exp(label) - 1) * count(*)), 6) as r2
+    from walk{n}""")
+    split = f"{ROWS.replace('rows1 as', 'all_rows as')}, rows1 as (select * from all_rows where {TRAIN} = 0), held as (select * from all_rows where {TRAIN} = 1)"
+    steps = f"{split} {levels} {walk}"
+    return f"with {steps.replace(' as (' + chr(10), ' as materialized (' + chr(10))} {' union all '.join(errors)}"
+
+
+DEEP = list(range(1, 11))
+
+
+@query("median_tree_deep", depth_errors_sql(max(DEEP)))
 def median_tree_deep(spark, sf_dir):
     """Validation error by depth of one median tree grown ten levels."""
-    return _depth_errors(spark, sf_dir, list(range(1, 11)))
+    return _depth_errors(spark, sf_dir, DEEP)
 
 
-@query("median_tree_full")
+@query("median_tree_full", depth_errors_sql(max(library_models.TREE_DEPTHS)))
 def median_tree_full(spark, sf_dir):
     """Validation error by depth of the whole default search, twenty levels."""
     return _depth_errors(spark, sf_dir, library_models.TREE_DEPTHS)
 
 
 def _depth_errors(spark, sf_dir, depths: list[int]) -> DataFrame:
-    train, validation = hash_split(training_rows(spark, sf_dir), "id", [0.8, 0.2])
+    train, validation = hash_split(training_rows(spark, sf_dir), "id", SPLIT)
     train = spread(train).persist()
     tree = median_tree.fit_median_tree(train, TRIP_FEATURES, max(depths))
     train.unpersist()

@@ -1,10 +1,10 @@
 """Regression tree with one candidate split per node and feature: the upper median of its distinct values.
 
-The tree grows one level per round. Each round reduces the rows to label sums per (node, feature,
-value), map-side first, and takes thresholds, gains and winners from that table. Rows never leave
-the executors.
+The tree grows one level per round. Values are numbered once, and rows carry the numbers. Each round
+finds which numbers every node has, takes the medians by radix descent over counted digits, and then sums
+both sides of all thresholds in one aggregate per node. Rows never leave the executors.
 
-Labels are summed as decimals with as many places as the largest label leaves room for, fifteen
+Labels are summed as whole numbers with as many places as the largest label leaves room for, fifteen
 digits in all. Sums are then independent of row order, and two features that split a node alike tie
 exactly, which the lowest-feature rule needs. Rows with a null, NaN or infinite feature or label are left out
 of a fit, as the trip tables leave them out.
@@ -12,14 +12,16 @@ of a fit, as the trip tables leave them out.
 
 from __future__ import annotations
 
+from functools import reduce
 from math import floor, log10
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidemark.operators.ranks import DICTIONARY_ROWS, number_values, to_ranks, to_values
 from tidemark.operators.tree_nodes import DEEPEST, ROOT, NodeTree, child_of, sized
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.session import ensure_checkpoint_dir, written
 
 PLACES = 9
 DIGITS = 15
@@ -183,67 +185,146 @@ def best_splits(gains: DataFrame) -> DataFrame:
     return gains.groupBy("node").agg(best).select("node", "best.*")
 
 
+def rank_words(rows: DataFrame) -> DataFrame:
+    """``(node, feature, word, bits)``: which ranks a node's rows have, 64 to a word."""
+    cells = rows.selectExpr("node", "posexplode(ranks) as (feature, rank)")
+    cells = cells.selectExpr("node", "feature", "rank >> 6 as word", "1L << cast(rank & 63 as int) as bit")
+    return cells.groupBy("node", "feature", "word").agg(F.expr("bit_or(bit) as bits"))
+
+
+def median_ranks(words: DataFrame, last_word: int, digit_bits: int) -> DataFrame:
+    """``(node, feature, threshold)``: the upper median of each group's distinct ranks; single ranks give none.
+
+    Radix descent: the words of a group are counted by their leading digit, the digit that holds the wanted place
+    becomes the prefix, and the next digit is counted inside it, down to one word and a bit in it. No window
+    sees more rows of a group than a digit has values, however many values a feature has.
+    """
+    key = ["node", "feature"]
+    group = "partition by node, feature"
+    shift = 0
+    while last_word >> shift >> digit_bits:
+        shift += digit_bits
+    words = words.selectExpr("*", "bit_count(bits) as n")
+    found: DataFrame | None = None
+    while True:
+        near, kept = words, key
+        if found is not None:
+            near = words.join(found, key).filter(f"word >> {shift + digit_bits} = prefix")
+            kept = [*key, "place"]
+        counts = near.selectExpr(*kept, f"word >> {shift} as digit", "n", "bits")
+        if shift:
+            counts = counts.groupBy(*kept, "digit").agg(F.sum("n").alias("n"))
+        counts = counts.selectExpr("*", f"sum(n) over ({group} order by digit rows unbounded preceding) as up_to")
+        if found is None:
+            counts = counts.selectExpr("*", f"sum(n) over ({group}) div 2 as place").filter("place >= 1")
+        here = counts.filter("up_to - n <= place and place < up_to").withColumn("left", F.expr("place - up_to + n"))
+        if not shift:
+            # The set bit of the word that has so many set bits below it.
+            bit = "get(filter(sequence(0, 63), i -> shiftright(bits, i) & 1L = 1L), cast(left as int))"
+            return here.selectExpr(*key, f"cast(digit as bigint) * 64 + {bit} as threshold")
+        found = here.selectExpr(*key, "digit as prefix", "left as place")
+        shift -= digit_bits
+
+
+def node_thresholds(medians: DataFrame, n_features: int) -> DataFrame:
+    """One row per node with the thresholds of all features, null where a feature has none."""
+    each = ", ".join(f"max(if(feature = {f}, threshold, null))" for f in range(n_features))
+    return medians.groupBy("node").agg(F.expr(f"array({each}) as thresholds"))
+
+
+# A label in whole units, in two parts whose sums stay exact in 64 bits.
+_LOW_BITS = 25
+
+
+def side_sums(rows: DataFrame, thresholds: DataFrame | None, nodes_at_most: int, n_features: int) -> DataFrame:
+    """``(node, feature, threshold, n, s)``: rows and label sum left of each threshold, and of the node itself as
+    feature -1. Sums of a task are one row per node and feature."""
+    cells = ["-1L"]
+    if thresholds is not None:
+        rows = rows.join(sized(thresholds, nodes_at_most), "node", "left")
+        cells += [f"if(ranks[{f}] <= thresholds[{f}], thresholds[{f}], null)" for f in range(n_features)]
+    return (
+        rows.selectExpr("node", "high", "low", f"posexplode(array({', '.join(cells)})) as (at, threshold)")
+        .filter("threshold is not null")
+        .groupBy("node", "at", "threshold")
+        .agg(F.expr("count(1) as n"), F.expr("sum(high) as high"), F.expr("sum(low) as low"))
+        .selectExpr("node", "at - 1 as feature", "threshold", "n", f"cast(high as decimal(28,0)) * {1 << _LOW_BITS} + low as s")
+    )
+
+
+def _level(sums: DataFrame, depth: int, places: int, allow_empty: bool) -> DataFrame:
+    """The nodes of a level ``(node, depth, n_rows, prediction, feature, threshold)``, thresholds as ranks."""
+    nodes = sums.groupBy("node").agg(
+        F.expr("max(if(feature < 0, n, null)) as n_rows"),
+        F.expr("max(if(feature < 0, s, null)) as s_all"),
+        F.expr("collect_list(if(feature >= 0, struct(feature, threshold, n, s), null)) as sides"),
+    )
+    # Between-side variance: what the split removes from the label variance. One side may be empty on request.
+    gap = "cast(x.s as double) / x.n - cast(s_all - x.s as double) / (n_rows - x.n)"
+    share = "cast(x.n as double) * (n_rows - x.n) / power(cast(n_rows as double), 2)"
+    gain = f"if(x.n = n_rows, 0.0D, {share} * power({gap}, 2))"
+    # Largest gain, then lowest feature.
+    best = f"""array_max(transform(filter(sides, x -> {str(allow_empty).lower()} or x.n < n_rows),
+        x -> struct({gain} as gain, -x.feature as place, x.threshold as threshold)))"""
+    return nodes.selectExpr("*", f"{best} as best").selectExpr(
+        "node",
+        f"{depth} as depth",
+        "n_rows",
+        f"cast(s_all as double) / n_rows / {10.0**places!r}D as prediction",
+        "-best.place as feature",
+        "best.threshold as threshold",
+    )
+
+
 def fit_median_tree(
     rows: DataFrame,
     feature_names: list[str],
     max_depth: int,
     allow_empty_child: bool = False,
-    checkpoint_every: int = 5,
     sort_rows: int = SORT_ROWS,
+    dictionary_rows: int = DICTIONARY_ROWS,
 ) -> NodeTree:
-    """Grow a tree on ``(features array<double>, label)``, which should be persisted by the caller."""
+    """Grow a tree on ``(features array<double>, label)``, which should be persisted by the caller.
+
+    Values are numbered once, and rows carry ranks from then on. A level shuffles two small tables: which
+    ranks each node has, 64 to a word, and one row per node and task with the sums left of its thresholds.
+    """
     if max_depth > DEEPEST:
         raise ValueError(f"trees go down to depth {DEEPEST}")
     ensure_checkpoint_dir(rows.sparkSession)
-    tree = NodeTree(list(feature_names))
-    rows = finite_rows(rows)
+    rows, n_features = finite_rows(rows), len(feature_names)
     places = label_places(rows)
-    current = rows.select("features", "label", F.lit(ROOT).cast("long").alias("node"))
-    held: DataFrame | None = None
+    units = F.round(F.col("label") * 10.0**places).cast("long")
+    dictionary = number_values(rows, n_features)
+    if not any(dictionary.sizes):
+        raise ValueError("no training rows")
+    # Ranks of one group that a window may hold, as a power of two.
+    digit_bits = max(1, min(sort_rows, 1 << 16).bit_length() - 1)
+    last_word = (max(dictionary.sizes) - 1) >> 6
+    current = to_ranks(
+        rows.select("features", F.shiftright(units, _LOW_BITS).alias("high"), units.bitwiseAND((1 << _LOW_BITS) - 1).alias("low")),
+        dictionary, dictionary_rows,
+    ).withColumn("node", F.lit(ROOT).cast("long"))
+    current = written(current, "ranked")
+    levels, sizes = [], []
     for depth in range(max_depth + 1):
-        nodes_at_most = 1 << depth
-        if depth == max_depth:
-            tree.levels.append(_level(_node_totals(current, places), None, depth).checkpoint())
+        thresholds = None
+        if depth < max_depth:
+            words = rank_words(current)
+            medians = median_ranks(words.persist() if last_word >> digit_bits else words, last_word, digit_bits)
+            thresholds = node_thresholds(medians, n_features)
+        level = _level(side_sums(current, thresholds, 1 << depth, n_features), depth, places, allow_empty_child)
+        seen = Observation()
+        levels.append(written(level.observe(seen, F.count(F.lit(1)).alias("nodes"), F.count("feature").alias("splits")), "level"))
+        if depth < max_depth and last_word >> digit_bits:
+            words.unpersist()
+        sizes.append(seen.get["nodes"])
+        if not seen.get["splits"]:
             break
-        sums = value_sums(current, places).persist()
-        splits, totals = median_splits(sums, nodes_at_most * len(feature_names), sort_rows)
-        winners = best_splits(split_gains(splits, allow_empty_child))
-        level = _level(totals, winners, depth).checkpoint()
-        sums.unpersist()
-        tree.levels.append(level)
-        found = level.agg(F.count(F.lit(1)), F.count("feature")).first()
-        if depth == 0 and not found[0]:
-            raise ValueError("no training rows")
-        if not found[1]:
-            break
-        chosen = level.filter(F.col("feature").isNotNull()).select("node", "feature", "threshold")
-        moved = current.join(sized(chosen, nodes_at_most), "node").select(
-            "features",
-            "label",
-            child_of(F.col("node"), F.col("features")[F.col("feature")], F.col("threshold")).alias("node"),
-        )
-        # The rows of a level are read once more to move them on; every few levels they are
-        # written out, which ends the chain of joins behind them.
-        current = moved.checkpoint() if (depth + 1) % checkpoint_every == 0 else moved.persist()
-        if held is not None:
-            current.count()
-            held.unpersist()
-        held = None if (depth + 1) % checkpoint_every == 0 else current
-    if held is not None:
-        held.unpersist()
-    return tree
-
-
-def _node_totals(rows: DataFrame, places: int) -> DataFrame:
-    total = F.sum(F.col("label").cast(f"decimal(38,{places})"))
-    return rows.groupBy("node").agg(F.count(F.lit(1)).alias("n_rows"), total.alias("s_all"))
-
-
-def _level(totals: DataFrame, winners: DataFrame | None, depth: int) -> DataFrame:
-    prediction = (F.col("s_all").cast("double") / F.col("n_rows")).alias("prediction")
-    if winners is None:
-        split = [F.lit(None).cast("int").alias("feature"), F.lit(None).cast("double").alias("threshold")]
-    else:
-        totals = totals.join(winners, "node", "left")
-        split = ["feature", "threshold"]
-    return totals.select("node", F.lit(depth).alias("depth"), "n_rows", prediction, *split)
+        chosen = levels[-1].filter(F.col("feature").isNotNull()).select("node", "feature", "threshold")
+        child = child_of(F.col("node"), F.col("ranks")[F.col("feature")], F.col("threshold"))
+        # Written, not kept: a plan never reaches back beyond one level.
+        moved = current.join(sized(chosen, 1 << depth), "node").select("high", "low", "ranks", child.alias("node"))
+        current = written(moved, "moved")
+    nodes = written(to_values(reduce(DataFrame.unionByName, levels), dictionary, sum(sizes)), "tree")
+    return NodeTree(list(feature_names), [nodes.filter(F.col("depth") == d) for d in range(len(levels))], sizes)

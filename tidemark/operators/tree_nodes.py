@@ -43,10 +43,11 @@ def child_of(node: Column, value: Column, threshold: Column) -> Column:
 
 @dataclass
 class NodeTree:
-    """Node tables by depth; each is written out and holds at most ``2 ** depth`` rows."""
+    """Node tables by depth; each is written out and holds at most ``2 ** depth`` rows, ``sizes`` says how many."""
 
     feature_names: list[str]
     levels: list[DataFrame] = field(default_factory=list)
+    sizes: list[int] | None = None
 
     @property
     def depth(self) -> int:
@@ -62,7 +63,13 @@ class NodeTree:
         last = kept[-1].withColumns(
             {"feature": F.lit(None).cast("int"), "threshold": F.lit(None).cast("double")}
         )
-        return NodeTree(self.feature_names, [*kept[:-1], last])
+        return NodeTree(self.feature_names, [*kept[:-1], last], self.sizes and self.sizes[: depth + 1])
+
+    def count(self) -> int:
+        """Number of nodes; counted where the fit did not."""
+        if self.sizes is None:
+            self.sizes = [df.count() for df in self.levels]
+        return sum(self.sizes)
 
 
 def _blocks(tree: NodeTree, first: int, levels: int) -> DataFrame:

@@ -91,6 +91,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(os.path.join(shared_root(spark), "checkpoints"))
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The rows written to the shared folder and read again: lineage ends there, and a lost
+    executor costs no more than a read."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared root, for written tables and stream checkpoints.
 
