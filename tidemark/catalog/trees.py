@@ -9,7 +9,7 @@ from tidemark.catalog.fraud import split_sql
 from tidemark.catalog.registry import query
 from tidemark.catalog.trips import DISTANCE, TRIPS, clean_sql, features_sql
 from tidemark.functions.scalars import from_log_label
-from tidemark.operators import library_models, median_tree, tree_nodes
+from tidemark.operators import histogram_tree, library_models, median_tree, tree_nodes
 from tidemark.operators.split import hash_split
 from tidemark.operators.trips import TRIP_FEATURES, feature_array, score_table, train_table
 from tidemark.plans.regression import SPLIT, result_tables, trip_job
@@ -240,11 +240,15 @@ def sample_paths(spark, sf_dir):
     return paths.select("id", F.array_join("steps", "; ").alias("steps"))
 
 
-def depth_errors_sql(depth: int) -> str:
-    """Errors on held-out trips by depth, of a tree grown on the others: every level of growth, then of the walk, is one step."""
-    levels = "".join(level_sql(n) for n in range(1, depth + 1)) + leaves_sql(depth + 1)
-    walk, errors = "", []
-    for n in range(1, depth + 2):
+def materialised(sql: str) -> str:
+    """Every step computed once."""
+    return sql.replace(" as (\n", " as materialized (\n")
+
+
+def whole_walk_sql(levels: int) -> str:
+    """All rows of ``held`` walked down; ``walk{n}`` has what level ``n`` predicts, or the leaf above it."""
+    walk = ""
+    for n in range(1, levels + 1):
         before = "select id, label, features, 1 as node, cast(null as double) as prediction from held" if n == 1 else f"select * from walk{n - 1}"
         walk += f""",
     walk{n} as (
@@ -253,26 +257,41 @@ def depth_errors_sql(depth: int) -> str:
                   then 2 * w.node + case when w.features[v.feature + 1] <= v.threshold then 0 else 1 end end as node,
              coalesce(v.prediction, w.prediction) as prediction
       from ({before}) w left join level{n} v on v.node = w.node)"""
-        if n > 1:
-            errors.append(f"""
+    return walk
+
+
+SPLIT_ROWS = f"{ROWS.replace('rows1 as', 'all_rows as')}, rows1 as (select * from all_rows where {TRAIN} = 0), held as (select * from all_rows where {TRAIN} = 1)"
+
+
+def depth_errors_sql(depth: int, growth: str) -> str:
+    """Errors on held-out trips by depth, of a tree grown on the others."""
+    errors = [
+        f"""
     select {n - 1} as depth, round(sqrt(avg(power(exp(label) - exp(prediction), 2))), 6) as rmse,
            round(1 - sum(power(exp(label) - exp(prediction), 2)) / (var_pop(exp(label) - 1) * count(*)), 6) as r2
-    from walk{n}""")
-    split = f"{ROWS.replace('rows1 as', 'all_rows as')}, rows1 as (select * from all_rows where {TRAIN} = 0), held as (select * from all_rows where {TRAIN} = 1)"
-    steps = f"{split} {levels} {walk}"
-    return f"with {steps.replace(' as (' + chr(10), ' as materialized (' + chr(10))} {' union all '.join(errors)}"
+    from walk{n}"""
+        for n in range(2, depth + 2)
+    ]
+    return f"with {materialised(f'{SPLIT_ROWS} {growth} {whole_walk_sql(depth + 1)}')} {' union all '.join(errors)}"
+
+
+def median_growth_sql(depth: int) -> str:
+    return "".join(level_sql(n) for n in range(1, depth + 1)) + leaves_sql(depth + 1)
 
 
 DEEP = list(range(1, 11))
 
 
-@query("median_tree_deep", depth_errors_sql(max(DEEP)))
+@query("median_tree_deep", depth_errors_sql(max(DEEP), median_growth_sql(max(DEEP))))
 def median_tree_deep(spark, sf_dir):
     """Validation error by depth of one median tree grown ten levels."""
     return _depth_errors(spark, sf_dir, DEEP)
 
 
-@query("median_tree_full", depth_errors_sql(max(library_models.TREE_DEPTHS)))
+FULL = max(library_models.TREE_DEPTHS)
+
+
+@query("median_tree_full", depth_errors_sql(FULL, median_growth_sql(FULL)))
 def median_tree_full(spark, sf_dir):
     """Validation error by depth of the whole default search, twenty levels."""
     return _depth_errors(spark, sf_dir, library_models.TREE_DEPTHS)
@@ -286,40 +305,104 @@ def _depth_errors(spark, sf_dir, depths: list[int]) -> DataFrame:
     return library_models.depth_metrics(tree, validation, depths)
 
 
-@query("tree_fit")
-def tree_fit(spark, sf_dir):
+def bins_sql(bins: int = histogram_tree.BINS) -> str:
+    return f""",
+    counted as (
+      select feature, value, count(*) as n
+      from (select unnest(features) as value, unnest(range({N_FEATURES})) as feature from rows1) group by all),
+    binned as (
+      select feature, value, case when size <= {bins} then place - 1 else below * {bins} // total end as bin
+      from (select *, row_number() over o as place, sum(n) over o - n as below, count(*) over p as size, sum(n) over p as total
+            from counted window o as (partition by feature order by value rows unbounded preceding), p as (partition by feature))),
+    edges as (
+      select feature, bin, max(value) as threshold from binned group by all)"""
+
+
+def histogram_growth_sql(depth: int) -> str:
+    """Every level: label sums per bin, running sums over bins, the best edge of each node, and the rows' children."""
+    sql = bins_sql()
+    for n in range(1, depth + 1):
+        sql += f""",
+    hist{n} as (
+      select node, feature, bin, count(*) as n, sum(cast(label as decimal(18, 9))) as s
+      from (select node, label, unnest(features) as value, unnest(range({N_FEATURES})) as feature from rows{n})
+      join binned using (feature, value) group by all),
+    gains{n} as (
+      select *, cast(nl as double) * (na - nl) / power(cast(na as double), 2)
+               * power(cast(sl as double) / nl - cast(sa - sl as double) / (na - nl), 2) as gain
+      from (select node, feature, bin, sum(n) over o as nl, sum(s) over o as sl, sum(n) over p as na, sum(s) over p as sa
+            from hist{n} window o as (partition by node, feature order by bin rows unbounded preceding),
+                                p as (partition by node, feature))
+      where nl < na),
+    winners{n} as (
+      select node, feature, threshold
+      from (select *, row_number() over (partition by node order by gain desc, feature, bin) as r
+            from gains{n} where gain > {histogram_tree.LEAST_GAIN!r}) join edges using (feature, bin)
+      where r = 1),
+    level{n} as (
+      select t.node, {n - 1} as depth, t.n_rows, t.prediction, w.feature, w.threshold
+      from (select node, count(*) as n_rows, avg(label) as prediction from rows{n} group by node) t
+      left join winners{n} w using (node)),
+    rows{n + 1} as (
+      select id, label, features,
+             2 * r.node + case when features[feature + 1] <= threshold then 0 else 1 end as node
+      from rows{n} r join winners{n} w on r.node = w.node)"""
+    return sql + leaves_sql(depth + 1)
+
+
+FIT_DEPTH = 5
+GROWN = f"{ROWS} {histogram_growth_sql(FIT_DEPTH)}"
+ALL_LEVELS = " union all ".join(f"select * from level{n}" for n in range(1, FIT_DEPTH + 2))
+
+
+def _fit_histogram(spark, sf_dir) -> tree_nodes.NodeTree:
     rows = spread(training_rows(spark, sf_dir)).persist()
-    model = library_models.fit_tree(library_models.with_vectors(rows), 5)
+    tree = histogram_tree.fit_histogram_tree(rows, TRIP_FEATURES, FIT_DEPTH)
     rows.unpersist()
-    return library_models.node_tree(model, TRIP_FEATURES, spark).nodes
+    return tree
+
+
+@query("tree_fit", f"with {materialised(GROWN)} select {NODE_COLUMNS} from ({ALL_LEVELS})")
+def tree_fit(spark, sf_dir):
+    """Nodes of a tree of depth five on quantile bins."""
+    return _fit_histogram(spark, sf_dir).nodes
 
 
-@query("tree_predict")
+@query(
+    "tree_predict",
+    f"""with {materialised(f"{GROWN}, held as (select id, cast(null as double) as label, [{FEATURE_LIST}] as features from (select id, {features_sql(distance=f'round({DISTANCE}, 6)')} from trips)) {whole_walk_sql(FIT_DEPTH + 1)}")}
+    select id, round(exp(prediction) - 1, 6) as prediction from walk{FIT_DEPTH + 1}""",
+)
 def tree_predict(spark, sf_dir):
-    rows = spread(library_models.with_vectors(training_rows(spark, sf_dir))).persist()
-    model = library_models.fit_tree(rows, 5)
-    rows.unpersist()
-    test = library_models.with_vectors(feature_array(score_table(trips(spark, sf_dir))))
-    return library_models.predict_original(model, test)
+    """Predictions of that tree for all trips, on the original scale; the id stays in the row throughout."""
+    test = score_table(trips(spark, sf_dir)).withColumn("distance_haversine", F.round("distance_haversine", 6))
+    scored = tree_nodes.predict(feature_array(test), _fit_histogram(spark, sf_dir))
+    return scored.select("id", from_log_label(F.col("prediction")).alias("prediction"))
 
 
-@query("tree_depth_grid")
+@query("tree_depth_grid", depth_errors_sql(FULL, histogram_growth_sql(FULL)))
 def tree_depth_grid(spark, sf_dir):
-    train, validation = hash_split(training_rows(spark, sf_dir), "id", [0.8, 0.2])
+    """Validation error by depth of the whole search: one tree of twenty levels, measured in one walk."""
+    train, validation = hash_split(training_rows(spark, sf_dir), "id", SPLIT)
     train = spread(train).persist()
-    _, table = library_models.depth_grid(train, validation, TRIP_FEATURES, library_models.TREE_DEPTHS)
+    tree = histogram_tree.fit_histogram_tree(train, TRIP_FEATURES, FULL)
     train.unpersist()
-    return table
+    return library_models.depth_metrics(tree, validation, library_models.TREE_DEPTHS)
 
 
-@query("tree_importance")
+@query(
+    "tree_importance",
+    f"""with {materialised(GROWN)},
+    removed as (
+      select p.feature, sum(cast(l.n_rows as double) * r.n_rows / (l.n_rows + r.n_rows) * power(l.prediction - r.prediction, 2)) as x
+      from ({ALL_LEVELS}) p join ({ALL_LEVELS}) l on l.node = 2 * p.node join ({ALL_LEVELS}) r on r.node = 2 * p.node + 1
+      group by p.feature)
+    select name, round(coalesce(x, 0) / (select sum(x) from removed), 6) as importance
+    from (select unnest(range({N_FEATURES})) as feature, unnest({_NAMES}) as name) left join removed using (feature)""",
+)
 def tree_importance(spark, sf_dir):
-    """Impurity importance of the library tree."""
-    rows = spread(library_models.with_vectors(training_rows(spark, sf_dir))).persist()
-    model = library_models.fit_tree(rows, 5)
-    rows.unpersist()
-    values = list(zip(TRIP_FEATURES, model.featureImportances.toArray().tolist()))
-    return spark.createDataFrame(values, "name string, importance double")
+    """Share of the label variance that splits on each feature remove."""
+    return tree_nodes.impurity_importances(_fit_histogram(spark, sf_dir)).select("name", "importance")
 
 
 @query("metrics_table")

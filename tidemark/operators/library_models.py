@@ -97,7 +97,9 @@ def node_tree(model: DecisionTreeRegressionModel, feature_names: list[str], spar
         )
         .checkpoint()
     )
-    return NodeTree(list(feature_names), [nodes.filter(F.col("depth") == d) for d in range(model.depth + 1)])
+    sizes = {r["depth"]: r["count"] for r in nodes.groupBy("depth").count().collect()}
+    depths = range(model.depth + 1)
+    return NodeTree(list(feature_names), [nodes.filter(F.col("depth") == d) for d in depths], [sizes[d] for d in depths])
 
 
 def depth_metrics(tree: NodeTree, rows: DataFrame, depths: list[int]) -> DataFrame:

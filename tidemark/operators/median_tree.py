@@ -236,6 +236,17 @@ def node_thresholds(medians: DataFrame, n_features: int) -> DataFrame:
 _LOW_BITS = 25
 
 
+def exact_labels(places: int) -> list[Column]:
+    """``high`` and ``low``: the label in units of its last place, split so that both can be summed as they are."""
+    units = F.round(F.col("label") * 10.0**places).cast("long")
+    return [F.shiftright(units, _LOW_BITS).alias("high"), units.bitwiseAND((1 << _LOW_BITS) - 1).alias("low")]
+
+
+def exact_sum() -> str:
+    """Both sums of a group put together again."""
+    return f"cast(high as decimal(28,0)) * {1 << _LOW_BITS} + low"
+
+
 def side_sums(rows: DataFrame, thresholds: DataFrame | None, nodes_at_most: int, n_features: int) -> DataFrame:
     """``(node, feature, threshold, n, s)``: rows and label sum left of each threshold, and of the node itself as
     feature -1. Sums of a task are one row per node and feature."""
@@ -248,7 +259,7 @@ def side_sums(rows: DataFrame, thresholds: DataFrame | None, nodes_at_most: int,
         .filter("threshold is not null")
         .groupBy("node", "at", "threshold")
         .agg(F.expr("count(1) as n"), F.expr("sum(high) as high"), F.expr("sum(low) as low"))
-        .selectExpr("node", "at - 1 as feature", "threshold", "n", f"cast(high as decimal(28,0)) * {1 << _LOW_BITS} + low as s")
+        .selectExpr("node", "at - 1 as feature", "threshold", "n", f"{exact_sum()} as s")
     )
 
 
@@ -294,17 +305,14 @@ def fit_median_tree(
     ensure_checkpoint_dir(rows.sparkSession)
     rows, n_features = finite_rows(rows), len(feature_names)
     places = label_places(rows)
-    units = F.round(F.col("label") * 10.0**places).cast("long")
     dictionary = number_values(rows, n_features)
     if not any(dictionary.sizes):
         raise ValueError("no training rows")
     # Ranks of one group that a window may hold, as a power of two.
     digit_bits = max(1, min(sort_rows, 1 << 16).bit_length() - 1)
     last_word = (max(dictionary.sizes) - 1) >> 6
-    current = to_ranks(
-        rows.select("features", F.shiftright(units, _LOW_BITS).alias("high"), units.bitwiseAND((1 << _LOW_BITS) - 1).alias("low")),
-        dictionary, dictionary_rows,
-    ).withColumn("node", F.lit(ROOT).cast("long"))
+    current = to_ranks(rows.select("features", *exact_labels(places)), dictionary, dictionary_rows)
+    current = current.withColumn("node", F.lit(ROOT).cast("long"))
     current = written(current, "ranked")
     levels, sizes = [], []
     for depth in range(max_depth + 1):

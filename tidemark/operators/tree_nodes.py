@@ -28,6 +28,8 @@ LEAF_LINE = "Predict: %.2f"
 BROADCAST_ROWS = 1 << 16
 # Levels a row walks down per join.
 BLOCK_LEVELS = 6
+# Blocks that are broadcast at most; each holds up to 63 nodes, two kilobytes.
+BROADCAST_BLOCKS = 1 << 11
 # The nested expression is one node after the other in code, and so is refused for deeper trees.
 EXPRESSION_DEPTH = 6
 
@@ -65,11 +67,9 @@ class NodeTree:
         )
         return NodeTree(self.feature_names, [*kept[:-1], last], self.sizes and self.sizes[: depth + 1])
 
-    def count(self) -> int:
-        """Number of nodes; counted where the fit did not."""
-        if self.sizes is None:
-            self.sizes = [df.count() for df in self.levels]
-        return sum(self.sizes)
+    def level_size(self, depth: int) -> int:
+        """Number of nodes at a depth: as the fit counted them, else at most."""
+        return self.sizes[depth] if self.sizes else 1 << depth
 
 
 def _blocks(tree: NodeTree, first: int, levels: int) -> DataFrame:
@@ -89,19 +89,17 @@ def _blocks(tree: NodeTree, first: int, levels: int) -> DataFrame:
     return filled.select("root", F.transform(places, lambda p: F.try_element_at("at", p)).alias("block"))
 
 
-def _walk(
-    rows: DataFrame,
-    tree: NodeTree,
-    name: str,
-    start: Column,
-    visit: Callable[[Column, Column, Column, Column], Column],
-) -> DataFrame:
+Visit = Callable[[Column, Column, Column, Column], Column]
+
+
+def _walk(rows: DataFrame, tree: NodeTree, name: str, start: Column, visit: Visit) -> DataFrame:
     """Follow each row down the tree and collect column ``name`` on the way.
 
     ``visit`` gives its new value from the one so far, whether the row is at a node still, the node
     ``(feature, threshold, prediction)`` and the feature's value. One join carries a row over
-    ``BLOCK_LEVELS`` levels. Roots of blocks are counted: few enough are broadcast; else the rows
-    that are still on their way, and only they, are shuffled to them.
+    ``BLOCK_LEVELS`` levels. The root's block meets every row with as many features as the tree has; a row of
+    another width keeps the start value. Further down few blocks are broadcast; else the rows that are
+    still on their way, and only they, are shuffled to them. The fit says how many blocks there are, so nothing runs here.
     """
     kept = rows.columns
     walked = rows.select(*kept, F.lit(ROOT).cast("long").alias("node"), start.alias(name))
@@ -120,17 +118,22 @@ def _walk(
                 visit(so_far["value"], alive, node, value).alias("value"),
             )
 
-        here = F.struct(F.when(F.col("node").isNotNull(), F.lit(1)).alias("place"), F.col(name).alias("value"))
+        at_root = F.col("node").isNotNull() & F.col("block").isNotNull()
+        here = F.struct(F.when(at_root, F.lit(1)).alias("place"), F.col(name).alias("value"))
         end = F.aggregate(F.sequence(F.lit(1), F.lit(levels)), here, step)
         onward = F.col("node") * over + F.col("end.place") - over
-        if blocks.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        if not first:
+            one = blocks.select(F.lit(len(tree.feature_names)).alias("width"), "block")
+            met = walked.join(F.broadcast(one), F.size("features") == F.col("width"), "left")
+        elif tree.level_size(first) <= BROADCAST_BLOCKS:
             met = walked.join(F.broadcast(blocks), F.col("node") == F.col("root"), "left")
-            walked = met.withColumn("end", end).select(*kept, onward.alias("node"), F.col("end.value").alias(name))
         else:
             walked = walked.checkpoint()
             met = walked.filter(F.col("node").isNotNull()).join(blocks, F.col("node") == F.col("root"), "left")
             moved = met.withColumn("end", end).select(*kept, onward.alias("node"), F.col("end.value").alias(name))
             walked = moved.unionByName(walked.filter(F.col("node").isNull()))
+            continue
+        walked = met.withColumn("end", end).select(*kept, onward.alias("node"), F.col("end.value").alias(name))
     return walked.drop("node")
 
 
