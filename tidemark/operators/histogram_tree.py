@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.median_tree import exact_labels, exact_sum, finite_rows, label_places
@@ -139,12 +139,10 @@ def fit_histogram_tree(
     sums = written(histogram(current), "histogram")
     levels, sizes = [], []
     for depth in range(max_depth + 1):
-        seen = Observation()
-        level = best_edges(sums, depth, places, depth < max_depth, least_gain)
-        level = level.observe(seen, F.count(F.lit(1)).alias("nodes"), F.count("feature").alias("splits"))
-        levels.append(written(level, "level"))
-        sizes.append(seen.get["nodes"])
-        if not seen.get["splits"]:
+        levels.append(written(best_edges(sums, depth, places, depth < max_depth, least_gain), "level"))
+        nodes, splits = levels[-1].agg(F.count(F.lit(1)), F.count("feature")).first()
+        sizes.append(nodes)
+        if not splits:
             break
         chosen = levels[-1].filter(F.col("feature").isNotNull())
         child = child_of(F.col("node"), F.col("bins")[F.col("feature")], F.col("bin"))

@@ -15,7 +15,7 @@ from __future__ import annotations
 from functools import reduce
 from math import floor, log10
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -322,12 +322,12 @@ def fit_median_tree(
             medians = median_ranks(words.persist() if last_word >> digit_bits else words, last_word, digit_bits)
             thresholds = node_thresholds(medians, n_features)
         level = _level(side_sums(current, thresholds, 1 << depth, n_features), depth, places, allow_empty_child)
-        seen = Observation()
-        levels.append(written(level.observe(seen, F.count(F.lit(1)).alias("nodes"), F.count("feature").alias("splits")), "level"))
+        levels.append(written(level, "level"))
+        nodes, splits = levels[-1].agg(F.count(F.lit(1)), F.count("feature")).first()
         if depth < max_depth and last_word >> digit_bits:
             words.unpersist()
-        sizes.append(seen.get["nodes"])
-        if not seen.get["splits"]:
+        sizes.append(nodes)
+        if not splits:
             break
         chosen = levels[-1].filter(F.col("feature").isNotNull()).select("node", "feature", "threshold")
         child = child_of(F.col("node"), F.col("ranks")[F.col("feature")], F.col("threshold"))
