@@ -123,7 +123,8 @@ def _walk(rows: DataFrame, tree: NodeTree, name: str, start: Column, visit: Visi
         end = F.aggregate(F.sequence(F.lit(1), F.lit(levels)), here, step)
         onward = F.col("node") * over + F.col("end.place") - over
         if not first:
-            one = blocks.select(F.lit(len(tree.feature_names)).alias("width"), "block")
+            # The root is number 1, read from its row: a literal would fold away, and the hash join with it.
+            one = blocks.select((F.col("root") * len(tree.feature_names)).alias("width"), "block")
             met = walked.join(F.broadcast(one), F.size("features") == F.col("width"), "left")
         elif tree.level_size(first) <= BROADCAST_BLOCKS:
             met = walked.join(F.broadcast(blocks), F.col("node") == F.col("root"), "left")
