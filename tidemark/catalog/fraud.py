@@ -12,7 +12,7 @@ from tidemark.operators.split import hash_split, split_bounds, split_number
 from tidemark.plans import classification
 from tidemark.session import scratch_dir, spread
 from tidemark.sources import csv
-from tidemark.sources.tables import FRAUD_FEATURES, fraud, labelled_vectors
+from tidemark.sources.tables import FRAUD_FEATURES, fraud, labelled_vectors, read_table
 
 FEATURES = ", ".join(FRAUD_FEATURES)
 KEY = "l_orderkey || '-' || l_partkey || '-' || l_suppkey || '-' || l_linenumber"
@@ -91,6 +91,29 @@ def csv_strict_scan(spark, sf_dir):
     return rows.select(*[F.col("features")[i].alias(c) for i, c in enumerate(FRAUD_FEATURES)], "label")
 
 
+# Columns whose odd values are rare: a whole number too large for 32 bits, a fraction, a word.
+ODD_CELLS = {
+    "row_key": KEY,
+    "line": "cast(l_linenumber as int)",
+    "wide": "case when l_orderkey % 1009 = 5 then 3000000000 + l_orderkey else cast(l_orderkey as bigint) end",
+    "part": "case when l_orderkey % 1013 = 3 then l_partkey + cast(0.5 as double) else cast(l_partkey as double) end",
+    "code": "case when l_orderkey % 1019 = 2 then 'n/a' else cast(l_suppkey as varchar(20)) end",
+    "returned": "l_returnflag = 'R'",
+    "shipped": "case when l_quantity > 5 then cast(l_shipdate as timestamp) end",
+    "nothing": "cast(null as varchar(20))",
+}
+
+
+@query("csv_inferred_scan", f"select {', '.join(f'{sql} as {name}' for name, sql in ODD_CELLS.items())} from lineitem")
+def csv_inferred_scan(spark, sf_dir):
+    """A CSV read without a schema: types follow from all rows, rare odd values included."""
+    path = scratch_dir(spark, "csv-inferred")
+    rows = read_table(spark, sf_dir, "lineitem").selectExpr(*[f"{sql} as {name}" for name, sql in ODD_CELLS.items()])
+    whole = F.when(F.col("part") == F.floor("part"), F.floor("part").cast("string")).otherwise(F.col("part").cast("string"))
+    csv.write_csv(rows.withColumns({"part": whole, "shipped": F.date_format("shipped", csv.DATETIME_FORMAT)}), path)
+    return csv.read_csv_inferred(spark, path)
+
+
 # --- splits and scaling ------------------------------------------------------------------------
 
 

@@ -31,6 +31,66 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> Data
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
+# What a cell can be, narrowest first; a column is the first kind that all its cells can be. Kinds of a cell only ever
+# grow from int to long to double, so taking the narrowest kind for all cells is merging them pairwise, in any order.
+_WHOLE = r"^[+-]?[0-9]+$"
+_NUMBER = r"^([+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?|NaN|[+-]?Infinity)$"
+KINDS = ("boolean", "int", "bigint", "double", "timestamp")
+
+
+def _can_be(text: Column, kind: str, time_format: str) -> Column:
+    if kind == "boolean":
+        return F.lower(text).isin("true", "false")
+    if kind == "double":
+        return text.rlike(_NUMBER)
+    if kind == "timestamp":
+        return F.try_to_timestamp(text, F.lit(time_format)).isNotNull()
+    return text.rlike(_WHOLE) & text.try_cast(kind).isNotNull()
+
+
+def infer_kinds(text: DataFrame, time_format: str = DATETIME_FORMAT) -> list[str]:
+    """The kind of each text column, from all its cells in one aggregate; nothing is sampled.
+
+    Cells are taken without surrounding blanks; null and blank ones say nothing, and a column of those alone is
+    text. Numbers with leading zeros are numbers. The driver gets one row.
+    """
+    cells = [F.nullif(F.trim(F.col(f"`{c}`")), F.lit("")) for c in text.columns]
+    every = [
+        F.bool_and(cell.isNull() | _can_be(cell, kind, time_format)).alias(f"{i}_{kind}")
+        for i, cell in enumerate(cells)
+        for kind in KINDS
+    ]
+    some = [F.count(cell).alias(f"{i}_some") for i, cell in enumerate(cells)]
+    seen = text.agg(*every, *some).first()
+    kinds = []
+    for i in range(len(cells)):
+        fits = [kind for kind in KINDS if seen[f"{i}_{kind}"]] if seen[f"{i}_some"] else []
+        kinds.append(fits[0] if fits else "string")
+    return kinds
+
+
+def with_kinds(text: DataFrame, kinds: list[str], time_format: str = DATETIME_FORMAT) -> DataFrame:
+    """Text columns as these kinds; text itself stays as it is, blanks included."""
+
+    def typed(name: str, kind: str) -> Column:
+        raw = F.col(f"`{name}`")
+        if kind == "string":
+            return raw
+        cell = F.nullif(F.trim(raw), F.lit(""))
+        return F.try_to_timestamp(cell, F.lit(time_format)) if kind == "timestamp" else cell.try_cast(kind)
+
+    return text.select(*[typed(n, k).alias(n) for n, k in zip(text.columns, kinds)])
+
+
+def read_csv_inferred(spark: SparkSession, path: str, time_format: str = DATETIME_FORMAT) -> DataFrame:
+    """Header CSV whose column types follow from all of its rows, header lines of joined files left out.
+
+    Two passes over the files: one finds the kinds, the other reads. A file without rows is all text.
+    """
+    text = _no_headers(spark.read.options(header=True, mode="FAILFAST", enforceSchema=False).csv(path))
+    return with_kinds(text, infer_kinds(text, time_format), time_format)
+
+
 def read_csv_strict(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Header CSV where any malformed row fails the job."""
     return spark.read.schema(schema).options(header=True, mode="FAILFAST").csv(path)
@@ -40,7 +100,7 @@ def _no_headers(text: DataFrame) -> DataFrame:
     """Joined files repeat their header line; a row that equals its column names is one."""
     same = F.lit(True)
     for name in text.columns:
-        same = same & F.col(name).eqNullSafe(name)
+        same = same & F.col(f"`{name}`").eqNullSafe(name)
     return text.filter(~same)
 
 
