@@ -395,7 +395,41 @@ def logreg_sgd(spark, sf_dir):
     return spark.createDataFrame(rows, schema)
 
 
-@query("logreg_sgd_grid")
+def _sgd_grid_sql(steps: list[int], iterations: list[int], reg: float = 0.01, tolerance: float = 0.001) -> str:
+    """All runs of the search as one recursion: a step's weights move until they hardly do, and stay then."""
+    n = len(FRAUD_FEATURES)
+    weights = [f"w{i}" for i in range(n)]
+    z = " + ".join(f"{c} * {w}" for c, w in zip(FRAUD_FEATURES, weights))
+    gradients = ", ".join(f"avg({c} * ({sigmoid_sql(f'({z})')} - label)) as g{i}" for i, c in enumerate(FRAUD_FEATURES))
+    moved = ", ".join(f"{w} * (1 - step / sqrt(t) * {reg}) - step / sqrt(t) * g{i} as u{i}" for i, w in enumerate(weights))
+    gone = " + ".join(f"power({w} - u{i}, 2)" for i, w in enumerate(weights))
+    size = " + ".join(f"u{i} * u{i}" for i in range(n))
+    new = ", ".join(f"u{i}" for i in range(n))
+    return f"""with recursive {FRAUD}, {SAMPLE_SCALED},
+    taught as materialized (select * from scaled where split = 0),
+    runs(step, t, done, {", ".join(weights)}) as (
+      select unnest({steps})::double, 0, false, {", ".join("0.0::double" for _ in weights)}
+      union all
+      select step, t, t > 1 and sqrt({gone}) < {tolerance} * greatest(sqrt({size}), 1.0), {new}
+      from (select step, t, {", ".join(weights)}, {moved}
+            from (select step, t + 1 as t, {", ".join(f"any_value({w}) as {w}" for w in weights)}, {gradients}
+                  from runs, taught where not done and t < {max(iterations)} group by step, t))),
+    picked as (
+      select i * {len(iterations)} + j as candidate, {", ".join(f"arg_max({w}, t) as {w}" for w in weights)}
+      from runs join (select unnest({steps})::double as step, unnest(range({len(steps)})) as i) using (step),
+           (select unnest({iterations}) as most, unnest(range({len(iterations)})) as j)
+      where t <= most group by i, j),
+    scored as (select candidate, label, {sigmoid_sql(f'({z})')} as score from scaled, picked where split = 1),
+    c as (select candidate, count(*) filter (score > 0.5 and label = 1) as tp, count(*) filter (score > 0.5 and label = 0) as fp,
+                 count(*) filter (score <= 0.5 and label = 0) as tn, count(*) filter (score <= 0.5 and label = 1) as fn
+          from scored group by candidate),
+    r as (select *, tp / (tp + fp + 1e-10) as p, tp / (tp + fn + 1e-10) as q from c)
+    select cast(candidate as int) as candidate, 0 as threshold_index, 0.5::double as threshold, tp, fp, tn, fn,
+           round((tp + tn) / (tp + tn + fp + fn + 1e-10), 6) as accuracy, round(p, 6) as "precision",
+           round(q, 6) as recall, round(2 * p * q / (p + q + 1e-10), 6) as f1_score from r"""
+
+
+@query("logreg_sgd_grid", _sgd_grid_sql(logistic.SGD_STEPS, logistic.SGD_ITERATIONS))
 def logreg_sgd_grid(spark, sf_dir):
     """Validation metrics of the step x iterations search."""
     rows = _without_bias(spark, sf_dir)
