@@ -349,7 +349,48 @@ def param_grid(spark, sf_dir):
     return spark.createDataFrame(rows, "learning_rate double, reg_param double, loss double")
 
 
-@query("gd_grid")
+def _gd_grid_sql() -> str:
+    """The whole descent of all candidates as one recursion, early stops included, and their validation metrics."""
+    p = logistic.GDParams()
+    rates, regs = logistic.GD_GRID_LISTS["learning_rate"], logistic.GD_GRID_LISTS["reg_param"]
+    n = len(GRADIENT_TERMS)
+    w, v = [f"w{i}" for i in range(n)], [f"v{i}" for i in range(n)]
+    score = sigmoid_sql(f"({dot_sql(w)})")
+    gradients = ", ".join(f"avg({term} * ({score} - label)) as g{i}" for i, term in enumerate(GRADIENT_TERMS))
+    loss = f"avg(case when label = 1 then -581.0 * ln({score} + 1e-10) else -ln(1 - {score} + 1e-10) end)"
+    squares = " + ".join(f"any_value({x}) * any_value({x})" for x in w[:-1])
+    velocity = ", ".join(
+        f"{p.momentum} * v{i} + {1 - p.momentum} * (g{i}{f' + reg * w{i}' if i < n - 1 else ''}) as u{i}" for i in range(n)
+    )
+    checked = f"t >= 1 and ((t - 1) % 5 = 0 or t = {p.num_epochs})"
+    return f"""with recursive {FRAUD}, {POPULATION_SCALED},
+    taught as materialized (select * from scaled where split = 0),
+    runs(candidate, rate, reg, t, lowest, {", ".join(w + v)}) as (
+      select i * {len(regs)} + j, rate, reg, 0, 'infinity'::double, {", ".join("0.0::double" for _ in w + v)}
+      from (select unnest({rates})::double as rate, unnest(range({len(rates)})) as i),
+           (select unnest({regs})::double as reg, unnest(range({len(regs)})) as j)
+      union all
+      select candidate, rate, reg, t + 1, case when {checked} then least(lowest, loss) else lowest end,
+             {", ".join(f"w{i} - rate * u{i}" for i in range(n))}, {", ".join(f"u{i}" for i in range(n))}
+      from (select *, {velocity}
+            from (select candidate, rate, reg, t, any_value(lowest) as lowest, {", ".join(f"any_value({x}) as {x}" for x in w + v)},
+                         {gradients}, {loss} + reg * ({squares}) as loss
+                  from runs, taught where t < {p.num_epochs} group by candidate, rate, reg, t)
+            where not ({checked} and t - 1 > {p.early_stop_patience} and loss > lowest * {p.early_stop_factor}))),
+    last as (select candidate, {", ".join(f"arg_max({x}, t) as {x}" for x in w)} from runs group by candidate),
+    scored as (select candidate, label, {score} as score from scaled, last where split = 1),
+    t as (select unnest([0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]::double[]) as threshold, unnest(range(9)) as threshold_index),
+    c as (select candidate, threshold_index, threshold,
+                 count(*) filter (score > threshold and label = 1) as tp, count(*) filter (score > threshold and label = 0) as fp,
+                 count(*) filter (score <= threshold and label = 0) as tn, count(*) filter (score <= threshold and label = 1) as fn
+          from scored, t group by all),
+    r as (select *, tp / (tp + fp + 1e-10) as p, tp / (tp + fn + 1e-10) as q from c)
+    select cast(candidate as int) as candidate, cast(threshold_index as int) as threshold_index, threshold, tp, fp, tn, fn,
+           round((tp + tn) / (tp + tn + fp + fn + 1e-10), 6) as accuracy, round(p, 6) as "precision",
+           round(q, 6) as recall, round(2 * p * q / (p + q + 1e-10), 6) as f1_score from r"""
+
+
+@query("gd_grid", _gd_grid_sql())
 def gd_grid(spark, sf_dir):
     """Validation metrics of every (candidate, threshold) of the full grid."""
     rows = _scaled_arrays(spark, sf_dir)
