@@ -34,6 +34,8 @@ CLOSED = "(select max(ts) from ticks) - interval 10 seconds"
 CLOSING_SYMBOL = "~closing"
 CLOSING_GAP = "INTERVAL 30 DAYS"
 PARTS = 3
+# Ticks in a file of a part.
+FILE_ROWS = 1_000_000
 
 
 def _event_files(spark, sf_dir) -> DataFrame:
@@ -42,24 +44,34 @@ def _event_files(spark, sf_dir) -> DataFrame:
 
 
 def _tick_stream(spark, sf_dir) -> DataFrame:
-    """All ticks in several files in order of time, one per batch, and the closing tick behind them."""
+    """All ticks in several parts in order of time, one per batch, and the closing tick behind them.
+
+    A part has as many files as its rows ask for. Ticks without a time come with the first part. An empty table
+    gives an empty stream, without a closing tick.
+    """
     events = read_table(spark, sf_dir, "events")
     path = scratch_dir(spark, "events")
-    first, last = events.agg(F.min("ts"), F.max("ts")).first()
-    step = (last - first) / PARTS
-    for n in range(PARTS):
-        part = events.filter(F.col("ts") >= F.lit(first + n * step)) if n else events
-        part = part.filter(F.col("ts") < F.lit(first + (n + 1) * step)) if n + 1 < PARTS else part
-        part.coalesce(1).write.mode("append").parquet(path)
-    closing = events.limit(1).withColumns(
-        {"event_type": F.lit(CLOSING_SYMBOL), "ts": F.lit(last) + F.expr(CLOSING_GAP)}
-    )
-    closing.coalesce(1).write.mode("append").parquet(path)
-    return as_ticks(read_files(spark, path, events.schema, files_per_batch=1)).withWatermark("timestamp", WATERMARK)
+    first, last, n_events = events.agg(F.min("ts"), F.max("ts"), F.count(F.lit(1))).first()
+    files = max(1, -(-n_events // (PARTS * FILE_ROWS)))
+    if first is None:
+        events.repartition(files).write.parquet(path)
+    else:
+        bounds = [first + n * (last - first) / PARTS for n in range(PARTS)]
+        for n in range(PARTS):
+            part = events.filter(F.col("ts") >= F.lit(bounds[n])) if n else events
+            if n + 1 < PARTS:
+                part = part.filter(F.coalesce(F.col("ts") < F.lit(bounds[n + 1]), F.lit(True)))
+            part.repartition(files).write.mode("append").parquet(path)
+        closing = events.limit(1).withColumns(
+            {"event_type": F.lit(CLOSING_SYMBOL), "ts": F.lit(last) + F.expr(CLOSING_GAP)}
+        )
+        closing.write.mode("append").parquet(path)
+    stream = read_files(spark, path, events.schema, files_per_batch=files)
+    return as_ticks(stream).withWatermark("timestamp", WATERMARK)
 
 
 def _without_closing(df: DataFrame) -> DataFrame:
-    return df.filter(F.col("symbol") != CLOSING_SYMBOL)
+    return df.filter(~F.col("symbol").eqNullSafe(CLOSING_SYMBOL))
 
 
 @query("stream_tick_scan", """select event_type as symbol, round(value, 6) as price, ts as "timestamp" from events""")
