@@ -5,8 +5,6 @@ import pytest
 from __spark_entry__ import queries
 
 SF = "/root/testdata/sf0.001"
-# The look-ahead scan is the one place where rows pass through Arrow batches.
-ARROW = {"time_to_change"}
 BATCH = [
     "window_stats_multi", "window_pack", "zscore_join", "zscore_records", "zscore_dedup", "lookahead_pairs",
     "lookahead_pack", "first_change", "time_to_change", "trip_clean", "trip_features", "compare_predictions",
@@ -24,7 +22,7 @@ def test_plan(spark, name):
     plan = plan_of(queries()[name](spark, SF))
     for operator in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert operator not in plan
-    assert ("InPandas" in plan) == (name in ARROW)
+    assert "InPandas" not in plan and "InArrow" not in plan
     spark.catalog.clearCache()
 
 

@@ -149,6 +149,38 @@ def test_time_to_change_against_brute_force(spark, seed, chunk):
     assert got(look.first_change(look.lookahead_pairs(ticks, 20), 20)) == want
 
 
+@pytest.mark.parametrize("fan,levels", [(2, 1), (2, 3), (3, 2), (32, 3)])
+def test_time_to_change_through_every_level(spark, monkeypatch, fan, levels):
+    """Long runs without a change lead the search up all levels and down again."""
+    monkeypatch.setattr(look, "FAN", fan)
+    monkeypatch.setattr(look, "UPPER_LEVELS", levels)
+    rng = random.Random(fan + levels)
+    slow = [("A", t, float(t // 40 if t % 61 else 500 - t)) for t in range(0, 400)]
+    rows = slow + [("A", rng.randrange(400), float(rng.randrange(12))) for _ in range(60)] + [("B", 7, 1.0)] * 3
+    got = {
+        (r["symbol"], int((r["base_timestamp"] - START).total_seconds()), r["base_price"]): (r["time_to_decrease"], r["time_to_increase"])
+        for r in look.time_to_change(make_ticks(spark, rows), 90, 200).collect()
+    }
+    assert got == brute_changes(rows, 90)
+
+
+def test_time_to_change_of_a_dense_symbol(spark):
+    """Forty thousand ticks in one span, most of them far from their next change."""
+    ticks = spark.range(40_000).select(
+        F.lit("A").alias("symbol"),
+        F.when(F.col("id") == 39_999, -1.0).otherwise(F.floor(F.col("id") / 10_000)).cast("double").alias("price"),
+        F.timestamp_micros(F.col("id") * 500).alias("timestamp"),
+    )
+    got = look.time_to_change(ticks, 20)
+    last, first = 39_999 * 500, F.unix_micros("base_timestamp")
+    step = F.floor(first / 5_000_000) + 1
+    up = F.when(step < 4, step * 5_000_000 - first).otherwise(20_000_000)
+    wrong = got.filter(
+        (F.round(F.col("time_to_decrease") * 1e6) != last - first) | (F.round(F.col("time_to_increase") * 1e6) != up)
+    )
+    assert got.count() == 39_999 and wrong.count() == 0
+
+
 def test_lookahead_bounds_and_missing_futures(spark):
     ticks = make_ticks(spark, [("A", 0, 5), ("A", 20, 4), ("A", 41, 9), ("B", 0, 1)])
     pairs = look.lookahead_pairs(ticks, 20).collect()

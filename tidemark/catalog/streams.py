@@ -19,7 +19,7 @@ from tidemark.catalog.prices import (
     tick_messages,
 )
 from tidemark.catalog.registry import query
-from tidemark.operators import window_stats, zscore
+from tidemark.operators import lookahead, window_stats, zscore
 from tidemark.plans import prices as jobs
 from tidemark.session import scratch_dir
 from tidemark.sources import codec
@@ -158,6 +158,13 @@ def stream_lookahead(spark, sf_dir):
     return _without_closing(run_to_table(jobs.changes(_tick_stream(spark, sf_dir), SPAN), "lookahead"))
 
 
+@query("stream_lookahead_pairs", f"with {PAIRS} {CHANGE_SQL}")
+def stream_lookahead_pairs(spark, sf_dir):
+    """The same by a self-join of the stream and an aggregate over its pairs."""
+    pairs = lookahead.lookahead_pairs(_tick_stream(spark, sf_dir), SPAN)
+    return _without_closing(run_to_table(lookahead.first_change(pairs, SPAN), "lookahead-pairs"))
+
+
 @query(
     "stream_lookahead_fanout",
     f"""with {PAIRS}, changes as ({CHANGE_SQL})

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.timewin import WINDOW_LABELS
-from tidemark.operators.lookahead import DEFAULT_SPAN_SECONDS, first_change, lookahead_pairs
+from tidemark.operators.lookahead import DEFAULT_SPAN_SECONDS, time_to_change
 from tidemark.operators.window_stats import DEFAULT_DURATIONS, pack_windows, window_stats_multi
 from tidemark.operators.zscore import unpack_zscores, zscore_stream
 from tidemark.sources.codec import decode_zscores, encode_change
@@ -39,7 +39,7 @@ def zscores(ticks: DataFrame, durations: list[str] | None = None) -> DataFrame:
 
 def changes(ticks: DataFrame, span_seconds: int = DEFAULT_SPAN_SECONDS) -> DataFrame:
     """Watermarked ticks to seconds until the next lower and higher price."""
-    return first_change(lookahead_pairs(ticks, span_seconds), span_seconds)
+    return time_to_change(ticks, span_seconds)
 
 
 def routed(records: DataFrame) -> DataFrame:
