@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -211,3 +212,40 @@ def zscore_routed(spark, sf_dir):
     messages = read_files(spark, path, "key string, value string")
     routed = jobs.routed(codec.decode_zscores(messages))
     return run_to_table(routed, "zscore-routed", partition_by=["window"])
+
+
+@query(
+    "stream_fanout_restart",
+    f"""with {PAIRS}, changes as ({CHANGE_SQL})
+    select symbol, base_timestamp as "timestamp", 'higher' as kind, time_to_increase as wait from changes
+    union all select symbol, base_timestamp, 'lower', time_to_decrease from changes""",
+)
+def stream_fanout_restart(spark, sf_dir):
+    """Two outputs that only append; the second fails once, and the query is started again."""
+    path = scratch_dir(spark, "fanout-restart")
+    changes = _without_closing(jobs.changes(_tick_stream(spark, sf_dir), SPAN))
+    failed: list[int] = []
+
+    def appender(kind: str, column: str, fails: bool):
+        def write(batch: DataFrame, batch_id: int) -> None:
+            if fails and batch_id == 1 and not failed:
+                failed.append(batch_id)
+                raise ConnectionError("output lost")
+            rows = batch.select("symbol", F.col("base_timestamp").alias("timestamp"), F.lit(kind).alias("kind"), F.col(column).alias("wait"))
+            rows.write.mode("append").parquet(f"{path}/data")
+
+        return write
+
+    writers = {
+        "higher": appender("higher", "time_to_increase", False),
+        "lower": appender("lower", "time_to_decrease", True),
+    }
+    # The run that takes up the broken batch stops before the last windows close; one more closes them.
+    for _ in range(3):
+        running = fan_out(changes, writers, f"{path}/_checkpoint", available_now=True)
+        try:
+            running.awaitTermination()
+        except StreamingQueryException as error:
+            if "output lost" not in str(error):
+                raise
+    return spark.read.schema("symbol string, timestamp timestamp, kind string, wait double").parquet(f"{path}/data")

@@ -84,8 +84,9 @@ def change_topic_job(
 ) -> StreamingQuery:
     """Both topics are written from one computed stream.
 
-    A topic only appends, so a batch that is replayed after a failure is sent again; its messages
-    carry the tick's time, by which readers keep one.
+    A batch that is replayed after a failure goes only to the topic that had not got all of it. A topic
+    only appends, so one that was lost on the way gets that batch again; messages carry the tick's
+    time, by which readers keep one.
     """
     ticks = tick_stream(read_topic(spark, servers, source, "latest"), watermark)
 
@@ -96,8 +97,8 @@ def change_topic_job(
 
         return write
 
-    writers = [
-        to_topic(higher, "time_to_increase", "higher_window"),
-        to_topic(lower, "time_to_decrease", "lower_window"),
-    ]
+    writers = {
+        higher: to_topic(higher, "time_to_increase", "higher_window"),
+        lower: to_topic(lower, "time_to_decrease", "lower_window"),
+    }
     return fan_out(changes(ticks), writers, f"{checkpoint}/{higher}-{lower}")

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidemark.session import scratch_dir
 from tidemark.sources.codec import encode
+from tidemark.streaming.commits import CommitLog
 
 log = logging.getLogger(__name__)
 
@@ -50,21 +51,31 @@ def start_topic(df: DataFrame, servers: str, topic: str, checkpoint: str, trigge
 
 def fan_out(
     df: DataFrame,
-    writers: list[BatchWriter],
+    writers: list[BatchWriter] | dict[str, BatchWriter],
     checkpoint: str,
     available_now: bool = False,
     trigger: str | None = None,
 ) -> StreamingQuery:
     """Several outputs from one computed stream: each micro-batch is computed once, then written by all.
 
-    A batch may be replayed after a failure, so writers must be repeatable for the same batch id.
+    Outputs are marked one by one under the checkpoint, by name or by place in the list. A batch that is
+    replayed after a failure goes only to those that had not finished it. An output that was lost between
+    its last row and its mark gets the batch again, so writers should be repeatable for the same batch id.
     """
+    named = writers if isinstance(writers, dict) else {str(n): write for n, write in enumerate(writers)}
+    log = CommitLog(df.sparkSession, f"{checkpoint}/outputs")
 
     def write_all(batch: DataFrame, batch_id: int) -> None:
+        missing = {name: write for name, write in named.items() if not log.done(name, batch_id)}
+        if not missing:
+            # The state of the batch is kept only if the batch runs.
+            batch.write.format("noop").mode("overwrite").save()
+            return
         batch.persist()
         try:
-            for write in writers:
+            for name, write in missing.items():
                 write(batch, batch_id)
+                log.mark(name, batch_id, forget_earlier=True)
         finally:
             batch.unpersist()
 
