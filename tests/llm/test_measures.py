@@ -4,8 +4,11 @@ import collections
 import hashlib
 import html
 import re
+import time
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.llm import fertility, html_main, weak_pii
@@ -244,3 +247,32 @@ def test_pages_with_nulls_and_long_ones(spark):
     got = sorted((r["page_id"] or 0, r["main_text"]) for r in html_main.extract_main(df).collect())
     assert [g[0] for g in got] == [0, 1, 1, 2, 3]
     assert got[0][1] == "t" and got[1][1] == "" and got[4][1] == ""
+
+
+@pytest.mark.parametrize(
+    "page", ["<a " * 200_000, '<p x="' * 200_000, "> " + "<a " * 200_000, '<p x=">' * 200_000, "<!-- " * 200_000 + ">", "<p a='\">" * 100_000]
+)
+def test_page_of_broken_tags_takes_linear_time(page):
+    started = time.perf_counter()
+    html_main.main_text(page)
+    assert time.perf_counter() - started < 5
+
+
+def test_page_offsets_brackets_and_cut_off_tags():
+    texts = lambda page: [b.text for b in html_main.blocks(page)]
+    # Lower-casing the first letter makes it two characters.
+    assert texts("<p>\u0130\u0130\u0130\u0130</p><script>x</SCRIPT>thirty characters behind it") == ["\u0130" * 4, "thirty characters behind it"]
+    assert texts('<p title="a<b>c">one</p><p title=\'x>y<z\' id=q>two</p>') == ["one", "two"]
+    assert texts('<p alt="broken>three</p><p class="u">four</p>') == ["three", "four"]
+    assert texts("<p>five <b>six</b> <a href=x") == ["five six"]
+    assert texts("<p>five <!-- six > seven") == ["five"]
+    assert texts("<p>5 < 6 and 7 > 2</p>") == ["5 < 6 and 7 > 2"]
+
+
+@given(st.lists(st.tuples(st.sampled_from(["p", "div", "h2", "li", "td"]), st.text("abc <>&\"'=\u0130\u00e9", max_size=12), st.text("abc<>=/' ", max_size=8)), max_size=12))
+@settings(max_examples=200, deadline=None)
+def test_blocks_against_the_pieces_of_random_pages(pieces):
+    """Every block's text comes back whole, whatever stands in texts and quoted attributes."""
+    page = "".join(f'<{tag} title="{title}">{html.escape(text)}</{tag}>' for tag, text, title in pieces)
+    want = [" ".join(text.split()) for _, text, _ in pieces]
+    assert [b.text for b in html_main.blocks(page)] == [t for t in want if t]

@@ -8,7 +8,8 @@ blocks, and middling ones, stay undecided. The second pass gives each undecided
 its nearest decided neighbours: good if either is good inside the article part, or if both are good
 elsewhere, or if nothing is decided inside the article part.
 
-Each page is parsed by itself, in one pass over its tags, so memory is bounded by the largest page.
+Each page is parsed by itself, in one pass over its tags, so memory is bounded by the largest page. Tags
+that are never closed are text, but for the last, which a page may be cut off in.
 """
 
 from __future__ import annotations
@@ -73,12 +74,18 @@ DROPPED_WORDS = frozenset(
     ).split()
 )
 
+_OPEN = re.compile(r"<[!?/A-Za-z]")
+# Where a ``>`` follows. A value in quotes may hold both brackets if an attribute or the end follows it.
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
-    r"|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"'<]++|\"[^\"<]*+\"|'[^'<]*+')*+|[^>]*)>"
-    r"|<[!?/][^>]*>|<[!?/A-Za-z][^<>]*\Z",
+    r"|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"'<=]++|=\s*+\"[^\"]*+\"(?=[\s/>])|=\s*+'[^']*+'(?=[\s/>])|="
+    r"|\"[^\"<]*+\"|'[^'<]*+')*+|[^>]*)>"
+    r"|<[!?/][^>]*>",
     re.S,
 )
+# Where none follows: the page ends within a comment or a tag.
+_CUT_OFF = re.compile(r"<!--.*\Z|<!\[CDATA\[.*\Z|<[!?/A-Za-z][^<>]*\Z", re.S)
+_RAW_END = {name: re.compile("</" + name, re.I | re.A) for name in RAW}
 _ATTRIBUTE = re.compile(r"(?i)\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
 _NAME_PARTS = re.compile(r"[a-z]+")
 
@@ -118,7 +125,11 @@ def blocks(page: str) -> list[Block]:
     open_tags: list[str] = []
     n_open: Counter[str] = Counter()
     dropped_at = 0  # depth of the outermost dropped element, 0 if none is open
-    lower = ""
+    last_end = page.rfind(">")
+
+    def next_tag(start: int) -> re.Match | None:
+        opened = _OPEN.search(page, start)
+        return opened and (_TAG if opened.start() < last_end else _CUT_OFF).search(page, opened.start())
 
     def flush() -> None:
         nonlocal links
@@ -140,7 +151,7 @@ def blocks(page: str) -> list[Block]:
 
     at = 0
     while True:
-        tag = _TAG.search(page, at)
+        tag = next_tag(at)
         if not dropped_at:
             text = page[at : tag.start() if tag else len(page)]
             if text:
@@ -150,7 +161,7 @@ def blocks(page: str) -> list[Block]:
         if tag is None:
             break
         at = tag.end()
-        name = (tag[2] or "").lower()
+        name = (tag[2] or "").lower() if tag.re is _TAG else ""
         if not name:
             if tag[0].startswith("<![CDATA[") and not dropped_at:
                 pieces.append(html.escape(tag[0][9:].removesuffix("]]>")))
@@ -166,9 +177,8 @@ def blocks(page: str) -> list[Block]:
         if name in VOID:
             continue
         if name in RAW:
-            lower = lower or page.lower()
-            end = lower.find("</" + name, at)
-            at = len(page) if end < 0 else end
+            end = _RAW_END[name].search(page, at)
+            at = end.start() if end else len(page)
             continue
         # A block ends an open paragraph, a list item ends the one before it.
         if name in BLOCKS and n_open["p"] > 0 and not _between(open_tags, "p", BLOCKS):
