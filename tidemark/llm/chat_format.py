@@ -165,19 +165,23 @@ def read_back(formatted: Column) -> Column:
 
 
 def loss_text(formatted: Column, turns: Column) -> Column:
-    """All text under the loss mask, unescaped. Each turn is cut from its own piece of the string."""
-    pieces = F.split(formatted, r"<\|im_start\|>")
-    cut = F.transform(
-        turns,
-        lambda t, i: unescape(
-            F.substring(
-                F.get(pieces, i + 1),
-                (t["loss_start"] - t["start"] - len(START) + 1).cast("int"),
-                t["loss_length"].cast("int"),
-            )
-        ),
-    )
-    return F.array_join(cut, "")
+    """All text under the loss mask, unescaped. The string is split once, and each turn is cut from its own piece."""
+
+    def cut(pieces: Column) -> Column:
+        texts = F.transform(
+            turns,
+            lambda t, i: unescape(
+                F.substring(
+                    F.get(pieces, i + 1),
+                    (t["loss_start"] - t["start"] - len(START) + 1).cast("int"),
+                    t["loss_length"].cast("int"),
+                )
+            ),
+        )
+        return F.array_join(texts, "")
+
+    # An array of one, so that the pieces are a value of their own and not computed again for every turn.
+    return F.transform(F.array(F.split(formatted, r"<\|im_start\|>")), cut)[0]
 
 
 SQL = r"""
