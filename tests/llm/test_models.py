@@ -262,3 +262,53 @@ def test_changes(spark, tmp_path):
     _, signed = rollups.apply_changes(ledger, changes())
     rollup.commit(3, signed)
     assert len(totals()) == 3
+
+
+def test_batches_that_come_again(spark, tmp_path, monkeypatch):
+    """Batches replayed on the advanced ledger, and ones that stop before either mark, against a recount."""
+    columns = "doc_id long, source string, lang string, tokenizer string, n_tokens long, deleted boolean, seq int"
+    batches = {
+        1: [(i, "ab"[i % 2], "en", "v1", 10 + i, False, 0) for i in range(20)] + [(None, None, "en", "v1", 4, False, 0)],
+        2: [(i, "a", "en", "v1", 0, True, 0) for i in range(5)] + [(7, "c", "de", "v2", 70, False, 0)],
+        3: [(3, "a", "en", "v2", 9, False, 0), (7, "c", "de", "v3", 71, False, 0)],
+    }
+    rollup = rollups.Rollup(spark, str(tmp_path / "r"))
+    real = rollup.marks.mark
+
+    def run(batch_id, stop_at=None):
+        def mark(output, *rest):
+            if output == stop_at:
+                raise ConnectionError("lost")
+            real(output, *rest)
+
+        monkeypatch.setattr(rollup.marks, "mark", mark)
+        rollup.apply(batch_id, spark.createDataFrame(batches[batch_id], columns))
+
+    def recount(*ids):
+        docs = {}
+        for b in ids:
+            for doc_id, *group, n, deleted, _ in batches[b]:
+                docs.pop(doc_id, None)
+                if not deleted:
+                    docs[doc_id] = (*group, n)
+        want = {}
+        for *group, n in docs.values():
+            was = want.get(tuple(group), (0, 0))
+            want[tuple(group)] = (was[0] + 1, was[1] + n)
+        return want
+
+    totals = lambda: {tuple(r)[:3]: tuple(r)[3:] for r in rollup.totals().collect()}
+    assert totals() == {} and rollup.ledger().count() == 0
+    for done, batch_id in [((), 1), ((1,), 2), ((1, 2), 3)]:
+        for stop_at in ("ledgers", "batches"):
+            with pytest.raises(ConnectionError):
+                run(batch_id, stop_at)
+            assert totals() == recount(*done)
+        run(batch_id)
+        for again in (*done, batch_id):
+            run(again)
+        assert totals() == recount(*done, batch_id)
+    rollup.commit(2, spark.createDataFrame([], "source string, lang string, tokenizer string, docs int, tokens long"))
+    assert totals() == recount(1, 2, 3) and rollup.batches() == [1, 2, 3]
+    with pytest.raises(ValueError, match="batch 0"):
+        rollup.apply(0, spark.createDataFrame(batches[1], columns))

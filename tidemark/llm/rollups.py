@@ -4,8 +4,9 @@ A ledger holds what is counted now: per document its source, language, tokenizer
 count. A batch of changes is compared with the ledger and becomes signed rows: minus what the
 document counted so far, plus what it counts from now on. Summed up per source, language and
 version, a batch's signed rows are its delta; a delta is additive, so totals are the sum over committed
-batches and nothing is ever recounted. A commit writes a batch's delta under its id, over whatever is there:
-a commit that is repeated, or half done before, changes nothing.
+batches and nothing is ever recounted. A commit writes the ledger's next version and the batch's delta under the
+batch's id, then one mark. Only marked batches are read, and a marked batch is never written again: a commit
+that is repeated, on whatever ledger, or was half done before, changes nothing.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialise, query, table, text_of
 from tidemark.session import scratch_dir
+from tidemark.streaming.commits import CommitLog
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -121,25 +123,62 @@ def apply_changes(ledger: DataFrame, changes: DataFrame) -> tuple[DataFrame, Dat
 
 
 class Rollup:
-    """Totals in a folder that driver and executors share, one subfolder per committed batch."""
+    """Totals, and the ledger they follow from, in a folder that driver and executors share."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
+        self.marks = CommitLog(spark, f"{path}/_marks")
+
+    def batches(self) -> list[int]:
+        """Ids of the committed batches, rising."""
+        return self.marks.batches("batches")
+
+    def ledger(self) -> DataFrame:
+        """What is counted after the last batch committed by :meth:`apply`; empty before the first."""
+        done = set(self.batches())
+        # A try that was lost between the two marks has left a version that is not committed.
+        versions = [v for v in self.marks.batches("ledgers") if v in done]
+        if not versions:
+            return empty_ledger(self.spark)
+        return self.spark.read.schema(LEDGER).parquet(f"{self.path}/ledger-{versions[-1]}")
+
+    def apply(self, batch_id: int, changes: DataFrame) -> None:
+        """Commit a batch of changes against the ledger kept here; nothing if the batch is committed.
+
+        Ids rise. A batch whose id is below a committed one, and that is not committed itself, is an
+        error. Each batch writes a whole ledger; versions below the last are no longer read.
+        """
+        batch_id = int(batch_id)
+        done = self.batches()
+        if batch_id in done:
+            return
+        if done and batch_id < done[-1]:
+            raise ValueError(f"batch {batch_id} comes after batch {done[-1]}")
+        after, signed = apply_changes(self.ledger(), changes)
+        after.write.mode("overwrite").parquet(f"{self.path}/ledger-{batch_id}")
+        self._write(batch_id, signed)
+        self.marks.mark("ledgers", batch_id)
+        self.marks.mark("batches", batch_id)
 
     def commit(self, batch_id: int, signed: DataFrame) -> None:
-        """Write the batch's delta. Again with the same id, it takes the place of the first."""
+        """Commit a batch's signed rows, for callers that keep the ledger themselves; nothing if it is committed."""
+        if not self.marks.done("batches", int(batch_id)):
+            self._write(int(batch_id), signed)
+            self.marks.mark("batches", int(batch_id))
+
+    def _write(self, batch_id: int, signed: DataFrame) -> None:
         (
             signed.groupBy(*GROUPS)
             .agg(F.sum("docs").cast("long").alias("docs"), F.sum("tokens").cast("long").alias("tokens"))
             .write.mode("overwrite")
-            .parquet(f"{self.path}/batch={int(batch_id)}")
+            .parquet(f"{self.path}/batch={batch_id}")
         )
 
     def totals(self) -> DataFrame:
-        """``(source, lang, tokenizer, docs, tokens)`` over all batches; groups left without documents are gone."""
-        deltas = self.spark.read.schema(
-            "source string, lang string, tokenizer string, docs long, tokens long"
-        ).option("basePath", self.path).parquet(f"{self.path}/batch=*")
+        """``(source, lang, tokenizer, docs, tokens)`` over committed batches; groups left without documents are gone."""
+        schema = "source string, lang string, tokenizer string, docs long, tokens long"
+        paths = [f"{self.path}/batch={b}" for b in self.batches()]
+        deltas = self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
         return (
             deltas.groupBy(*GROUPS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).where("docs <> 0 or tokens <> 0")
         )
@@ -148,32 +187,29 @@ class Rollup:
 @query("op9_delta_rollups")
 def op9_delta_rollups(spark, sf_dir):
     """Totals after three batches over all documents: all come in, exact copies go, texts in other
-    languages than English are recounted with the multilingual vocabulary. The second batch is
-    committed twice."""
+    languages than English are recounted with the multilingual vocabulary. The first two batches
+    come again after the second."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
     marked = docs.withColumn("_text_mark", F.sha2(text_of("text").cast("binary"), 256))
     counted = materialise(count_tokens(marked, "byte_bpe_50k"), "counts")
     rollup = Rollup(spark, scratch_dir(spark, "rollup"))
 
     fresh = counted.select(*LEDGER_COLUMNS, F.lit(False).alias("deleted"), F.lit(0).alias("seq"))
-    ledger, signed = apply_changes(empty_ledger(spark), fresh)
-    rollup.commit(1, signed)
+    rollup.apply(1, fresh)
 
     first = counted.groupBy("_text_mark").agg(F.min("doc_id").alias("_first"))
     copies = counted.join(first.hint("merge"), "_text_mark").where(F.col("doc_id") > F.col("_first"))
     gone = copies.select(*LEDGER_COLUMNS, F.lit(True).alias("deleted"), F.lit(0).alias("seq"))
-    ledger, signed = apply_changes(ledger, gone)
-    signed = materialise(signed, "signed")
-    rollup.commit(2, signed)
-    rollup.commit(2, signed)
+    rollup.apply(2, gone)
+    rollup.apply(1, fresh)
+    rollup.apply(2, gone)
 
     foreign = docs.where(~F.col("lang").eqNullSafe("en"))
     again = count_tokens(foreign, "byte_bpe_multi_50k").join(
-        ledger.select(F.col("doc_id").alias("_known")).hint("merge"), F.col("doc_id").eqNullSafe(F.col("_known")), "left_semi"
+        rollup.ledger().select(F.col("doc_id").alias("_known")).hint("merge"), F.col("doc_id").eqNullSafe(F.col("_known")), "left_semi"
     )
     revised = again.select(*LEDGER_COLUMNS, F.lit(False).alias("deleted"), F.lit(0).alias("seq"))
-    ledger, signed = apply_changes(ledger, revised)
-    rollup.commit(3, signed)
+    rollup.apply(3, revised)
     return rollup.totals()
 
 
