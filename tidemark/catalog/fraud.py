@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.catalog.registry import query
-from tidemark.operators import cleaning, library_models, logistic, metrics, scale
+from tidemark.operators import cleaning, lbfgs, library_models, logistic, metrics, scale
 from tidemark.operators.split import hash_split, split_bounds, split_number
 from tidemark.plans import classification
 from tidemark.session import scratch_dir, spread
@@ -490,6 +490,44 @@ def logreg_fit(spark, sf_dir):
     return classification.library_job(flat, "id", names, "Class")
 
 
+# The best weights by another way: Newton's method, whose three equations are solved by determinants.
+NEWTON_SQL = """
+with recursive x as (
+  select embedding[1]::double as a, embedding[2]::double as b, case when label = 0 then 1.0 else 0.0 end as y from embeddings
+  where embedding[1] is not null and embedding[2] is not null and label is not null),
+fit as (
+  select 0 as k, 0.0::double as wa, 0.0::double as wb, 0.0::double as wc
+  union all
+  select k + 1,
+         wa - (ga * (hbb * n - hb * hb) - hab * (gb * n - hb * gc) + ha * (gb * hb - hbb * gc)) / det,
+         wb - (haa * (gb * n - hb * gc) - ga * (hab * n - hb * ha) + ha * (hab * gc - gb * ha)) / det,
+         wc - (haa * (hbb * gc - gb * hb) - hab * (hab * gc - gb * ha) + ga * (hab * hb - hbb * ha)) / det
+  from (
+    select *, haa * (hbb * n - hb * hb) - hab * (hab * n - hb * ha) + ha * (hab * hb - hbb * ha) as det
+    from (
+      select k, wa, wb, wc, sum(a * (p - y)) as ga, sum(b * (p - y)) as gb, sum(p - y) as gc,
+             sum(a * a * p * (1 - p)) as haa, sum(a * b * p * (1 - p)) as hab, sum(b * b * p * (1 - p)) as hbb,
+             sum(a * p * (1 - p)) as ha, sum(b * p * (1 - p)) as hb, sum(p * (1 - p)) as n
+      from (select k, wa, wb, wc, a, b, y, 1 / (1 + exp(-(wa * a + wb * b + wc))) as p from fit, x where k < 15)
+      group by k, wa, wb, wc)))
+select 'e0' as feature, round(wa, 5) as weight from fit where k = 15
+union all select 'e1', round(wb, 5) from fit where k = 15
+union all select 'intercept', round(wc, 5) from fit where k = 15
+"""
+
+
+@query("logreg_lbfgs", NEWTON_SQL)
+def logreg_lbfgs(spark, sf_dir):
+    """Best weights of two vector components and the intercept."""
+    rows = labelled_vectors(spark, sf_dir).select(F.slice("features", 1, 2).alias("features"), "label")
+    whole = rows.filter("features[0] is not null and features[1] is not null and label is not null")
+    train = spread(whole).persist()
+    model = lbfgs.lbfgs_train(train, 2)
+    train.unpersist()
+    named = list(zip(("e0", "e1", "intercept"), model.weights))
+    return spark.createDataFrame(named, "feature string, weight double").withColumn("weight", F.round("weight", 5))
+
+
 @query("fraud_gd_job")
 def fraud_gd_job(spark, sf_dir):
     """Whole gradient-descent job over the full grid."""
