@@ -312,3 +312,13 @@ def test_batches_that_come_again(spark, tmp_path, monkeypatch):
     assert totals() == recount(1, 2, 3) and rollup.batches() == [1, 2, 3]
     with pytest.raises(ValueError, match="batch 0"):
         rollup.apply(0, spark.createDataFrame(batches[1], columns))
+
+
+def test_long_urls_cost_no_square(spark):
+    """Urls of 200,000 two-byte characters, two of them alike, beside null, empty and short ones."""
+    long = "http://a.net/" + "é" * 200_000
+    rows = [(1, long), (2, "http://b.example.net/en/" + "xü" * 100_000), (3, None), (4, ""), (5, long), (6, "http://a.org/\U0001f600")]
+    judged = url_ratio.judge_urls(spark.createDataFrame(rows, "page_id long, url string")).collect()
+    by_id = {r["page_id"]: r for r in judged}
+    assert sorted(by_id) == [1, 2, 3, 4, 5, 6] and by_id[1]["score"] == by_id[5]["score"] < 0 < by_id[2]["score"]
+    assert by_id[3]["score"] is None and by_id[4]["verdict"] == "block" and by_id[6]["score"] is not None

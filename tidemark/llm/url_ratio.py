@@ -57,17 +57,26 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]] =
     return found
 
 
+def _mark(string: Column) -> Column:
+    """128 bits that stand for a string where its characters are on their own."""
+    return F.unhex(F.md5(string.cast("binary")))
+
+
 def _windows(strings: DataFrame, order: int) -> DataFrame:
-    """Each character of ``_string`` with the ``order`` before it, in ``gram``; starts are padded."""
+    """Each character of ``_string`` with the ``order`` before it, in ``gram``; starts are padded.
+
+    The string itself stays behind: with it beside each character a long one would cost its square.
+    """
     padded = F.concat(F.lit(PAD * order), F.col("_string"))
-    return strings.where(F.col("_string") != "").withColumn(
-        "gram",
-        F.explode(
-            F.transform(
-                F.sequence(F.lit(1), F.char_length("_string")), lambda i: F.substring(padded, i, F.lit(order + 1))
-            )
+    # An array of one, so that the string is cut into characters once.
+    grams = F.transform(
+        F.array(F.split(padded, "")),
+        lambda chars: F.transform(
+            F.sequence(F.lit(1), F.size(chars) - order), lambda i: F.array_join(F.slice(chars, i, F.lit(order + 1)), "")
         ),
-    )
+    )[0]
+    kept = [c for c in strings.columns if c != "_string"]
+    return strings.where(F.col("_string") != "").select(*kept, F.explode(grams).alias("gram"))
 
 
 def gram_ratios(grams: DataFrame, order: int = ORDER, smoothing: float = SMOOTHING) -> DataFrame:
@@ -117,7 +126,7 @@ def judge_urls(
         .withColumn("_string", F.concat("host", "path"))
     )
     strings = rows.groupBy("_string").agg(
-        F.count("*").alias("_n"), F.first(F.col("_rule.verdict")).alias("_label")
+        F.count("*").alias("_n"), F.first(F.col("_rule.verdict")).alias("_label"), _mark(F.col("_string")).alias("_mark")
     )
     # The label follows from the string, as host and path do: the path starts at the first slash.
     counts = lambda label: F.sum(F.when(F.col("_label") == label, F.col("_n")).otherwise(0))
@@ -128,7 +137,7 @@ def judge_urls(
     scores = materialise(
         _windows(strings, order)
         .join(gram_ratios(grams, order, smoothing), "gram")
-        .groupBy("_string")
+        .groupBy("_mark")
         .agg(F.avg("ratio").alias("score"), F.first("_n").alias("_n"), F.first("_label").alias("_label")),
         "url-scores",
     )
@@ -142,7 +151,8 @@ def judge_urls(
         .collect()
     }
     return (
-        rows.join(scores.select("_string", "score"), "_string", "left")
+        rows.withColumn("_mark", _mark(F.col("_string")))
+        .join(scores.select("_mark", "score"), "_mark", "left")
         .withColumn("cut", F.lit(calibrated_cut(known)))
         .withColumns(
             {
@@ -152,7 +162,7 @@ def judge_urls(
                 ),
             }
         )
-        .drop("_rule", "_string")
+        .drop("_rule", "_string", "_mark")
     )
 
 
