@@ -234,3 +234,33 @@ def test_duplicate_bases_share_one_group(spark):
     packed = look.pack_lookahead(look.lookahead_pairs(ticks, 20))
     assert packed.count() == 1 and len(packed.first()["next"]) == 2
     assert look.time_to_change(ticks, 20).count() == 1
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_nested_pairs_are_packed_like_single_ones(spark, seed):
+    """Copies, nulls, both zeros, NaN, ties in time and gaps; without a shuffle of pairs."""
+    rng = random.Random(seed)
+    prices = [None, 0.0, -0.0, float("nan"), 1.5, 2.0, -3.0]
+    rows = [
+        (rng.choice(["A", "B", None]), START + timedelta(milliseconds=500 * rng.randrange(400)), rng.choice(prices))
+        for _ in range(300)
+    ] + [("A", None, 1.0)] * 2
+    ticks = spark.createDataFrame([(s, p, t) for s, t, p in rows], "symbol string, price double, timestamp timestamp")
+
+    def packed(nested):
+        df = look.pack_lookahead(look.lookahead_pairs(ticks, 20, nested=nested))
+        return sorted(repr(tuple(r)).replace("-0.0", "0.0") for r in df.collect())
+
+    assert packed(True) == packed(False) and packed(True)
+
+
+def test_lookahead_pack_shuffles_ticks_only(spark):
+    ticks = spark.range(2000).select(
+        F.lit("A").alias("symbol"),
+        F.rand(1).alias("price"),
+        F.timestamp_micros(F.col("id") * 10_000).alias("timestamp"),
+    )
+    df = look.pack_lookahead(look.lookahead_pairs(ticks, 20, nested=True))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    assert df.agg(F.sum(F.size("next"))).first()[0] == 2000 * 1999 // 2
