@@ -53,3 +53,14 @@ def test_a_file_of_headers_is_text(spark, tmp_path):
     (tmp_path / "only.csv").write_text("a,b\n")
     df = csv.read_csv_inferred(spark, str(tmp_path))
     assert df.dtypes == [("a", "string"), ("b", "string")] and df.count() == 0
+
+
+def test_kinds_ruled_out_at_first_are_not_asked_of_all_rows(spark, monkeypatch):
+    asked = []
+    fitting = csv._fitting
+    monkeypatch.setattr(csv, "_fitting", lambda text, kinds, form: asked.append(kinds) or fitting(text, kinds, form))
+    monkeypatch.setattr(csv, "FIRST_ROWS", 2)
+    rows = [("1", "x", None, "2024-01-02 03:04:05")] * 2 + [("2.5", "1", "7", "2024-01-02 03:04:05"), ("2", "2", "8", "z")]
+    text = spark.createDataFrame(rows, "a string, b string, c string, d string").coalesce(1)
+    assert csv.infer_kinds(text) == ["double", "string", "int", "string"]
+    assert asked[1] == [["int", "bigint", "double"], [], list(csv.KINDS), ["timestamp"]]

@@ -38,6 +38,10 @@ _NUMBER = r"^([+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?|NaN|[+-]?Infin
 KINDS = ("boolean", "int", "bigint", "double", "timestamp")
 
 
+# Cells looked at first: a kind that one of them rules out is not asked of the others. They decide nothing else.
+FIRST_ROWS = 1000
+
+
 def _can_be(text: Column, kind: str, time_format: str) -> Column:
     if kind == "boolean":
         return F.lower(text).isin("true", "false")
@@ -48,25 +52,30 @@ def _can_be(text: Column, kind: str, time_format: str) -> Column:
     return text.rlike(_WHOLE) & text.try_cast(kind).isNotNull()
 
 
-def infer_kinds(text: DataFrame, time_format: str = DATETIME_FORMAT) -> list[str]:
-    """The kind of each text column, from all its cells in one aggregate; nothing is sampled.
-
-    Cells are taken without surrounding blanks; null and blank ones say nothing, and a column of those alone is
-    text. Numbers with leading zeros are numbers. The driver gets one row.
-    """
+def _fitting(text: DataFrame, asked: list[list[str]], time_format: str) -> tuple[list[list[str]], list[bool]]:
+    """Which of the kinds asked of a column all its cells can be, and whether it has cells."""
     cells = [F.nullif(F.trim(F.col(f"`{c}`")), F.lit("")) for c in text.columns]
     every = [
         F.bool_and(cell.isNull() | _can_be(cell, kind, time_format)).alias(f"{i}_{kind}")
         for i, cell in enumerate(cells)
-        for kind in KINDS
+        for kind in asked[i]
     ]
     some = [F.count(cell).alias(f"{i}_some") for i, cell in enumerate(cells)]
     seen = text.agg(*every, *some).first()
-    kinds = []
-    for i in range(len(cells)):
-        fits = [kind for kind in KINDS if seen[f"{i}_{kind}"]] if seen[f"{i}_some"] else []
-        kinds.append(fits[0] if fits else "string")
-    return kinds
+    fits = [[kind for kind in kinds if seen[f"{i}_{kind}"] is not False] for i, kinds in enumerate(asked)]
+    return fits, [seen[f"{i}_some"] > 0 for i in range(len(cells))]
+
+
+def infer_kinds(text: DataFrame, time_format: str = DATETIME_FORMAT) -> list[str]:
+    """The kind of each text column, from all its cells; nothing is sampled.
+
+    Cells are taken without surrounding blanks; null and blank ones say nothing, and a column of those alone is
+    text. Numbers with leading zeros are numbers. The driver gets one row of some first rows, which strike the kinds
+    their cells cannot be, and one of all rows, which are asked for the others.
+    """
+    asked, _ = _fitting(text.limit(FIRST_ROWS), [list(KINDS)] * len(text.columns), time_format)
+    fits, some = _fitting(text, asked, time_format)
+    return [kinds[0] if kinds and has else "string" for kinds, has in zip(fits, some)]
 
 
 def with_kinds(text: DataFrame, kinds: list[str], time_format: str = DATETIME_FORMAT) -> DataFrame:
