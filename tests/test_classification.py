@@ -238,3 +238,25 @@ def test_copies_do_not_change_the_descent_job(spark):
             assert eval(once[key]) == pytest.approx(eval(copied[key]))
         elif "run" not in key:
             assert once[key] == copied[key]
+
+
+@pytest.mark.parametrize("weighted", [False, True])
+def test_gradient_pass_reads_rows_once_and_leaves_out_unknown_ones(spark, weighted):
+    nan, inf = float("nan"), float("inf")
+    data = [([0.5, -1.0], 1), ([2.0, 0.25], 0), ([None, 1.0], 1), ([3.0, 4.0], None), (None, 1), ([500.0, 1.0], 0), ([-500.0, 2.0], 1)]
+    for extra in ([], [([nan, 1.0], 1)], [([inf, 1.0], 0)]):
+        df = spark.createDataFrame(data + extra, "features array<double>, label int").repartition(3)
+        weights = {0: [0.3, -0.2], 4: [1.0, 0.5]}
+        score = {i: logistic.sigmoid(F.lit(0.0) + F.col("features")[0] * w[0] + F.col("features")[1] * w[1]) for i, w in weights.items()}
+        weight = F.when(F.col("label") == 1, 7.0).otherwise(2.0)
+        with logistic._GradientPass(df, 2, weighted) as one_pass:
+            got = one_pass.run(weights, dict.fromkeys(weights, (2.0, 7.0)))
+            assert one_pass.blocks.storageLevel.useMemory and one_pass.run(weights, dict.fromkeys(weights, (1.0, 1.0)), False)[4].loss is None
+        for i in weights:
+            residual = (score[i] - F.col("label")) * (weight if weighted else 1.0)
+            want = df.agg(
+                F.avg(weight * metrics.row_log_loss(score[i], F.col("label"))),
+                F.avg(F.col("features")[0] * residual),
+                F.avg(F.col("features")[1] * residual),
+            ).first()
+            assert [got[i].loss, *got[i].gradient] == pytest.approx(list(want), nan_ok=True)

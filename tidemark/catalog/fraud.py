@@ -310,10 +310,9 @@ def _weights_sql(source: str, candidate: int) -> str:
     f"""with {FRAUD}, {POPULATION_SCALED}, {_descent_sql(3, 0.7, 0.003, 0.9)} {_weights_sql('m3', 0)}""",
 )
 def gd_train(spark, sf_dir):
-    train = spread(_scaled_arrays(spark, sf_dir).filter("split = 0").select("features", "label")).persist()
+    train = spread(_scaled_arrays(spark, sf_dir).filter("split = 0").select("features", "label"))
     params = logistic.GDParams(learning_rate=0.7, num_epochs=3, reg_param=0.003)
     models = logistic.gd_train(train, len(GRADIENT_TERMS), [params])
-    train.unpersist()
     return _weights_frame(spark, models)
 
 
@@ -342,9 +341,8 @@ GRID = logistic.param_grid(GRID_LISTS)
 )
 def param_grid(spark, sf_dir):
     """Loss of every grid combination after one epoch, all from the same two passes."""
-    train = spread(_scaled_arrays(spark, sf_dir).filter("split = 0").select("features", "label")).persist()
+    train = spread(_scaled_arrays(spark, sf_dir).filter("split = 0").select("features", "label"))
     models = logistic.gd_train(train, len(GRADIENT_TERMS), GRID)
-    train.unpersist()
     rows = [(m.params.learning_rate, m.params.reg_param, m.losses[0]) for m in models]
     return spark.createDataFrame(rows, "learning_rate double, reg_param double, loss double")
 
@@ -394,9 +392,8 @@ def _gd_grid_sql() -> str:
 def gd_grid(spark, sf_dir):
     """Validation metrics of every (candidate, threshold) of the full grid."""
     rows = _scaled_arrays(spark, sf_dir)
-    train = spread(rows.filter("split = 0").select("features", "label")).persist()
+    train = spread(rows.filter("split = 0").select("features", "label"))
     _, table = logistic.gd_search(train, rows.filter("split = 1"), len(GRADIENT_TERMS))
-    train.unpersist()
     return table
 
 
@@ -428,9 +425,8 @@ def _without_bias(spark, sf_dir) -> DataFrame:
     from s3""",
 )
 def logreg_sgd(spark, sf_dir):
-    train = spread(_without_bias(spark, sf_dir).filter("split = 0").select("features", "label")).persist()
+    train = spread(_without_bias(spark, sf_dir).filter("split = 0").select("features", "label"))
     models = logistic.sgd_train(train, len(FRAUD_FEATURES), [15.0], [3])
-    train.unpersist()
     rows = [(float(m.step), m.iterations, *m.weights) for m in models]
     schema = "step double, iterations int, " + ", ".join(f"w_{i} double" for i in range(len(FRAUD_FEATURES)))
     return spark.createDataFrame(rows, schema)
@@ -474,9 +470,8 @@ def _sgd_grid_sql(steps: list[int], iterations: list[int], reg: float = 0.01, to
 def logreg_sgd_grid(spark, sf_dir):
     """Validation metrics of the step x iterations search."""
     rows = _without_bias(spark, sf_dir)
-    train = spread(rows.filter("split = 0").select("features", "label")).persist()
+    train = spread(rows.filter("split = 0").select("features", "label"))
     models = logistic.sgd_train(train, len(FRAUD_FEATURES), logistic.SGD_STEPS, logistic.SGD_ITERATIONS)
-    train.unpersist()
     scored = logistic.score_candidates(rows.filter("split = 1"), [m.weights for m in models])
     return metrics.threshold_metrics(scored, [0.5], by=["candidate"])
 

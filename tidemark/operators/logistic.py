@@ -1,21 +1,29 @@
 """Logistic regression by full-batch gradient descent, as Spark aggregates.
 
-Rows are ``(features array<double>, label)``. Many candidates advance together: each pass fans a
-row out to the live candidates inside its task, and only one partial gradient per candidate and
-task is shuffled. Weights enter as one array literal, so generated code is reused between passes.
+Rows are ``(features array<double>, label)``. Many candidates advance together: a pass takes every
+row once and measures all live candidates on it inside its task, and only one partial gradient per
+candidate and task is shuffled.
 """
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import product
 from math import inf, sqrt
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import dot, sigmoid
-from tidemark.operators.metrics import row_log_loss, threshold_metrics
+from tidemark.operators.metrics import EPSILON, threshold_metrics
+
+# Executors need not have this package: functions travel with their code.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 NO_CLASS_WEIGHTS = {0: 1.0, 1: 1.0}
 
@@ -93,41 +101,119 @@ def _candidate_score(size: int) -> Column:
 
 @dataclass
 class _Sums:
-    gradient: list[float]
-    loss: float
+    gradient: list[float | None]
+    loss: float | None
+
+
+def _numpy_sigmoid(z: np.ndarray) -> np.ndarray:
+    """As :func:`sigmoid`, where NaN is larger than any number."""
+    with np.errstate(over="ignore"):
+        score = 1.0 / (1.0 + np.exp(-z))
+    score[(z > 100) | np.isnan(z)] = 1.0
+    score[z < -100] = 0.0
+    return score
+
+
+class _Partial:
+    """Sums of one candidate over the rows of a task."""
+
+    def __init__(self, weights: list[float], class_weights: tuple[float, float]) -> None:
+        self.weights, self.class_weights = weights, class_weights
+        self.gradient, self.loss = np.zeros(len(weights)), 0.0
+
+    def add(self, features: np.ndarray, label: np.ndarray, n_known: int, weighted: bool, with_loss: bool) -> None:
+        """Rows from ``n_known`` on are without a label: they have a loss, as of class 0, and no gradient."""
+        z = np.zeros(len(label))
+        for f, w in zip(features, self.weights):
+            z += f * w
+        score = _numpy_sigmoid(z)
+        weight = np.where(label == 1, self.class_weights[1], self.class_weights[0]) if weighted or with_loss else None
+        residual = (score - label) * weight if weighted else score - label
+        self.gradient += features[:, :n_known] @ residual[:n_known]
+        if with_loss:
+            chance = np.where(label == 1, score, 1 - score)
+            self.loss -= float(np.sum(weight * np.log(chance + EPSILON)))
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per batch: labels and features as one block of doubles, rows without label last.
+
+    A row with any unknown feature has no score and is left out.
+    """
+    for batch in batches:
+        if batch.num_rows:
+            known, *others = (c.is_valid().to_numpy(zero_copy_only=False) for c in batch.columns)
+            whole = np.logical_and.reduce(others)
+            order = np.concatenate([np.flatnonzero(whole & known), np.flatnonzero(whole & ~known)])
+            block = np.stack([c.to_numpy(zero_copy_only=False)[order] for c in batch.columns])
+            n_known = int(np.sum(whole & known))
+            block[0, n_known:] = 0.0
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "n_known": pa.array([n_known], pa.int64()),
+                    "n": pa.array([len(order)], pa.int64()),
+                    "block": pa.array([block.tobytes()], pa.binary()),
+                }
+            )
 
 
 class _GradientPass:
-    """Mean gradient and mean weighted loss of every candidate, from one scan of the rows."""
+    """Mean gradient and, where asked, mean weighted loss of every candidate, from one scan of the rows.
+
+    The rows are read once and kept as blocks of plain doubles until the pass is left.
+    """
 
     def __init__(self, rows: DataFrame, size: int, weighted_gradient: bool = False) -> None:
-        self.rows, self.size = rows, size
-        weight = F.when(F.col("label") == 1, F.col("w1")).otherwise(F.col("w0"))
-        residual = F.col("score") - F.col("label")
-        self.scored = ["candidate", "features", "label", "w0", "w1", _candidate_score(size)]
-        self.prepared = [
-            "candidate",
-            "features",
-            (residual * weight if weighted_gradient else residual).alias("residual"),
-            (weight * row_log_loss(F.col("score"), F.col("label"))).alias("row_loss"),
-        ]
-        self.sums = [
-            F.avg("row_loss").alias("loss"),
-            *[F.avg(F.col("features")[i] * F.col("residual")).alias(f"g_{i}") for i in range(size)],
+        self.size, self.weighted_gradient = size, weighted_gradient
+        numbers = rows.select(
+            F.col("label").cast("double").alias("label"),
+            *[F.col("features")[i].cast("double").alias(f"f{i}") for i in range(size)],
+        )
+        self.blocks = numbers.mapInArrow(_packed, "n_known long, n long, block binary").persist()
+        self.means = [
+            (F.sum("loss") / F.nullif(F.sum("n_loss"), F.lit(0))).alias("loss"),
+            *[(F.sum(F.col("g")[i]) / F.nullif(F.sum("n"), F.lit(0))).alias(f"g_{i}") for i in range(size)],
         ]
 
+    def __enter__(self) -> _GradientPass:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.blocks.unpersist()
+
     def run(
-        self, weights: dict[int, list[float]], class_weights: dict[int, tuple[float, float]]
+        self, weights: dict[int, list[float]], class_weights: dict[int, tuple[float, float]], with_loss: bool = True
     ) -> dict[int, _Sums]:
-        sums = (
-            self.rows.select("features", "label", _candidates(weights, class_weights))
-            .select(*self.scored)
-            .select(*self.prepared)
-            .groupBy("candidate")
-            .agg(*self.sums)
-        )
+        size, weighted = self.size, self.weighted_gradient
+        class_weights = {i: class_weights[i] for i in weights}
+
+        def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums = {i: _Partial(w, class_weights[i]) for i, w in weights.items()}
+            n = n_loss = 0
+            seen = False
+            for batch in batches:
+                for n_known, n_rows, block in zip(*(c for c in batch.columns)):
+                    seen = True
+                    rows = np.frombuffer(block.as_buffer(), dtype=np.float64).reshape(size + 1, n_rows.as_py())
+                    n += n_known.as_py()
+                    n_loss += n_rows.as_py()
+                    for candidate in sums.values():
+                        candidate.add(rows[1:], rows[0], n_known.as_py(), weighted, with_loss)
+            if seen:
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "candidate": pa.array(list(sums), pa.int32()),
+                        "n": pa.array([n] * len(sums), pa.int64()),
+                        "n_loss": pa.array([n_loss] * len(sums), pa.int64()),
+                        "loss": pa.array([x.loss for x in sums.values()], pa.float64()),
+                        "g": pa.array([x.gradient.tolist() for x in sums.values()], pa.list_(pa.float64())),
+                    }
+                )
+
+        schema = "candidate int, n long, n_loss long, loss double, g array<double>"
+        means = self.blocks.mapInArrow(partial, schema).groupBy("candidate").agg(*self.means)
         # One row per candidate: bounded by the grid.
-        return {r[0]: _Sums(list(r[2:]), r[1]) for r in sums.collect()}
+        return {r[0]: _Sums(list(r[2:]), r[1] if with_loss else None) for r in means.collect()}
 
 
 @dataclass
@@ -146,38 +232,40 @@ def gd_train(
     ``velocity = m * velocity + (1 - m) * gradient``, ``weights -= rate * velocity``. The loss is
     checked every fifth epoch and after the last. It is read off the next pass, which scores the
     rows under the same weights anyway, so checking costs no extra scan except after the last epoch.
-    Class weights enter the loss only, unless ``weighted_gradient`` is set. Pass cached rows.
+    Class weights enter the loss only, unless ``weighted_gradient`` is set. The rows are read once.
     """
     grid = [params] if isinstance(params, GDParams) else list(params)
     models = [GDModel(p, [0.0] * size) for p in grid]
     velocity = [[0.0] * size for _ in grid]
     lowest = [inf] * len(grid)
     live = {i: grid[i].class_weights for i in range(len(grid))}
-    one_pass = _GradientPass(rows, size, weighted_gradient)
     epoch = 0
-    while live:
-        passes = one_pass.run({i: models[i].weights for i in live}, live)
-        if not passes:
-            raise ValueError("no training rows")
-        for i in list(live):
-            p, model, done = grid[i], models[i], epoch - 1
-            if done >= 0 and (done % 5 == 0 or done == p.num_epochs - 1):
-                penalty = p.reg_param * sum(w * w for w in model.weights[:-1])
-                loss = passes[i].loss + penalty
-                model.losses[done] = loss
-                if done > p.early_stop_patience and loss > lowest[i] * p.early_stop_factor:
-                    model.stopped_early = True
+    with _GradientPass(rows, size, weighted_gradient) as one_pass:
+        while live:
+            done = epoch - 1
+            checked = {i for i in live if done >= 0 and (done % 5 == 0 or done == grid[i].num_epochs - 1)}
+            passes = one_pass.run({i: models[i].weights for i in live}, live, with_loss=bool(checked))
+            if not passes:
+                raise ValueError("no training rows")
+            for i in list(live):
+                p, model = grid[i], models[i]
+                if i in checked:
+                    penalty = p.reg_param * sum(w * w for w in model.weights[:-1])
+                    loss = passes[i].loss + penalty
+                    model.losses[done] = loss
+                    if done > p.early_stop_patience and loss > lowest[i] * p.early_stop_factor:
+                        model.stopped_early = True
+                        del live[i]
+                        continue
+                    lowest[i] = min(lowest[i], loss)
+                if epoch >= p.num_epochs:
                     del live[i]
                     continue
-                lowest[i] = min(lowest[i], loss)
-            if epoch >= p.num_epochs:
-                del live[i]
-                continue
-            for j in range(size):
-                g = passes[i].gradient[j] + (p.reg_param * model.weights[j] if j < size - 1 else 0.0)
-                velocity[i][j] = p.momentum * velocity[i][j] + (1 - p.momentum) * g
-            model.weights = [w - p.learning_rate * v for w, v in zip(model.weights, velocity[i])]
-        epoch += 1
+                for j in range(size):
+                    g = passes[i].gradient[j] + (p.reg_param * model.weights[j] if j < size - 1 else 0.0)
+                    velocity[i][j] = p.momentum * velocity[i][j] + (1 - p.momentum) * g
+                model.weights = [w - p.learning_rate * v for w, v in zip(model.weights, velocity[i])]
+            epoch += 1
     return models
 
 
@@ -237,22 +325,22 @@ def sgd_train(
     state = {i: [0.0] * size for i in range(len(steps))}
     noted: dict[tuple[int, int], list[float]] = {}
     live = dict.fromkeys(state, (1.0, 1.0))
-    one_pass = _GradientPass(rows, size)
-    for iteration in range(1, max(iterations) + 1):
-        passes = one_pass.run({i: state[i] for i in live}, live)
-        if not passes:
-            raise ValueError("no training rows")
-        for i in list(live):
-            before = state[i]
-            state[i] = _updated(before, passes[i].gradient, steps[i], iteration, reg_param)
-            moved = _norm([a - b for a, b in zip(before, state[i])])
-            # The library compares weights from its second iteration on.
-            converged = iteration > 1 and moved < tolerance * max(_norm(state[i]), 1.0)
-            for n in iterations:
-                if n == iteration or (converged and n > iteration):
-                    noted[(i, n)] = state[i]
-            if converged:
-                del live[i]
-        if not live:
-            break
+    with _GradientPass(rows, size) as one_pass:
+        for iteration in range(1, max(iterations) + 1):
+            passes = one_pass.run({i: state[i] for i in live}, live, with_loss=False)
+            if not passes:
+                raise ValueError("no training rows")
+            for i in list(live):
+                before = state[i]
+                state[i] = _updated(before, passes[i].gradient, steps[i], iteration, reg_param)
+                moved = _norm([a - b for a, b in zip(before, state[i])])
+                # The library compares weights from its second iteration on.
+                converged = iteration > 1 and moved < tolerance * max(_norm(state[i]), 1.0)
+                for n in iterations:
+                    if n == iteration or (converged and n > iteration):
+                        noted[(i, n)] = state[i]
+                if converged:
+                    del live[i]
+            if not live:
+                break
     return [SGDModel(steps[i], n, noted[(i, n)]) for i in range(len(steps)) for n in iterations]
