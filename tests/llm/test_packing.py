@@ -138,3 +138,14 @@ def test_runs_agree(spark):
         return sorted(map(tuple, QUERIES["op13_vector_best_fit"](spark, "/root/testdata/sf0.001").collect()))
 
     assert rows() == rows()
+
+
+def test_words_of_letters_and_one_sign_need_no_split_pattern():
+    words = packing.WordIds(packing.VOCABULARY)
+    split, calls = words.parts, []
+    words.parts = lambda text: calls.append(text) or split(text)
+    plain = ["Hello", "world,", "ÉTÉ", "Über!", "naïve.", "s'", "a_", "ß?", "Ǆ"]
+    other = ["", "it's", "'s", "x2", "2", "a²", "¼", "--", "a--", "İ", "İİ", "a\x7f", "a\t", "<|im_end|>", "a<|", "日本", "é", "ſ!", "­ab"]
+    for word in plain + other:
+        assert words[word] == np.array(words.encode.encode(word, add_special_tokens=False).ids, "<u4").tobytes(), word
+    assert not {w.lower() for w in plain} & set(calls) and "x2" in calls

@@ -19,6 +19,7 @@ tokenizer's general normaliser, whose result for them is known; all others pass
 from __future__ import annotations
 
 import re
+import struct
 import sys
 import zlib
 from collections.abc import Iterator
@@ -94,7 +95,8 @@ class WordIds(dict):
         known = self.of_part.get(part)
         if known is None:
             text = part if part.isascii() else part.encode().decode("latin-1").translate(self.alphabet)
-            known = np.array([t.id for t in self.model(text)], "<u4").tobytes()
+            ids = [t.id for t in self.model(text)]
+            known = struct.pack(f"<{len(ids)}I", *ids)
             if len(part) <= LONGEST_CACHED:
                 if len(self.of_part) >= CACHE:
                     self.of_part.clear()
@@ -102,8 +104,15 @@ class WordIds(dict):
         return known
 
     def __missing__(self, word: str) -> bytes:
-        if _PLAIN.fullmatch(word) and "<|" not in word:
-            ids = b"".join(map(self._part, self.parts(word.lower())))
+        if (word.isascii() and word.isprintable() or _PLAIN.fullmatch(word)) and "<|" not in word:
+            low = word.lower()
+            # Most words are letters, or letters and one sign; the split pattern would find just these parts.
+            if low.isalpha():
+                ids = self._part(low)
+            elif low[:-1].isalpha() and not low[-1].isalnum():
+                ids = self._part(low[:-1]) + self._part(low[-1])
+            else:
+                ids = b"".join(map(self._part, self.parts(low)))
         else:
             ids = np.array(self.encode.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
         if len(word) <= LONGEST_CACHED:
