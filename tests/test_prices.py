@@ -254,6 +254,28 @@ def test_nested_pairs_are_packed_like_single_ones(spark, seed):
     assert packed(True) == packed(False) and packed(True)
 
 
+def odd_ticks(spark, seed):
+    """Copies, nulls, both zeros, NaN, ties in time and gaps."""
+    rng = random.Random(seed)
+    prices = [None, 0.0, -0.0, float("nan"), 1.5, 2.0, -3.0]
+    rows = [
+        (rng.choice(["A", "B", None]), rng.choice(prices), START + timedelta(milliseconds=500 * rng.randrange(400)))
+        for _ in range(300)
+    ] + [("A", 1.0, None)] * 2
+    return spark.createDataFrame(rows, "symbol string, price double, timestamp timestamp")
+
+
+def test_pairs_use_every_core_however_few_bytes(spark):
+    """The bytes before the join are few; time arithmetic is done for ticks, not for pairs."""
+    df = look.lookahead_pairs(odd_ticks(spark, 1), 20)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "coalesced" not in plan
+    join = next(line for line in plan.splitlines() if "Join" in line)
+    assert "INTERVAL" not in join.upper() and "until" in join
+    assert df.rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
+
+
 def test_lookahead_pack_shuffles_ticks_only(spark):
     ticks = spark.range(2000).select(
         F.lit("A").alias("symbol"),
