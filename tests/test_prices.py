@@ -265,6 +265,68 @@ def odd_ticks(spark, seed):
     return spark.createDataFrame(rows, "symbol string, price double, timestamp timestamp")
 
 
+def texts(df):
+    return sorted(repr(tuple(r)).replace("-0.0", "0.0") for r in df.collect())
+
+
+def as_pairs(ranges):
+    """One row per pair, as often as it occurs."""
+    bases = ranges.select("symbol", "ticks", F.explode("bases").alias("b"))
+    copies = bases.select("symbol", "ticks", "b", F.explode(F.sequence(F.lit(1), F.col("b.n_base"))))
+    later = F.inline(F.slice("ticks", F.col("b.start") + 1, F.col("b.end") - F.col("b.start")))
+    return copies.select("symbol", "b.timestamp", "b.price", later.alias("future_timestamp", "future_price"))
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_ranges_hold_every_pair(spark, seed):
+    ticks = odd_ticks(spark, seed)
+    pairs, ranges = look.lookahead_pairs(ticks, 20), look.lookahead_pairs(ticks, 20, ranges=True)
+    assert texts(as_pairs(ranges)) == texts(pairs) and texts(pairs)
+    assert texts(look.first_change(ranges, 20)) == texts(look.first_change(pairs, 20))
+
+
+def dense_ticks(spark):
+    return spark.range(8000).select(
+        F.lit("A").alias("symbol"),
+        F.rand(1).alias("price"),
+        F.timestamp_micros(F.col("id") * 2_000).alias("timestamp"),
+    )
+
+
+def rows_made(df):
+    """Rows that came out of the joins of an executed plan."""
+    plan, n = [df._jdf.queryExecution().executedPlan()], 0
+    while plan:
+        node = plan.pop()
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            node = node.executedPlan()
+        if node.nodeName().endswith("QueryStage"):
+            node = node.plan()
+        if "Join" in node.nodeName():
+            n += node.metrics().apply("numOutputRows").value()
+        plan += [node.children().apply(i) for i in range(node.children().size())]
+    return n
+
+
+def test_first_change_of_ranges_makes_no_row_per_pair(spark):
+    """32 million pairs of one symbol in one span."""
+    df = look.first_change(look.lookahead_pairs(dense_ticks(spark), 20, ranges=True), 20)
+    assert len(df.collect()) == 7999
+    assert rows_made(df) == 1
+
+
+def test_catalog_query_makes_no_row_per_pair(spark, tmp_path):
+    from __spark_entry__ import queries
+
+    dense_ticks(spark).select(
+        F.col("symbol").alias("event_type"), F.col("price").alias("value"), F.col("timestamp").cast("timestamp_ntz").alias("ts"),
+        F.lit(1).cast("long").alias("event_id"), F.lit(1).cast("long").alias("user_id"),
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    df = queries()["first_change"](spark, str(tmp_path))
+    assert len(df.collect()) == 7999
+    assert rows_made(df) < 10
+
+
 def test_pairs_use_every_core_however_few_bytes(spark):
     """The bytes before the join are few; time arithmetic is done for ticks, not for pairs."""
     df = look.lookahead_pairs(odd_ticks(spark, 1), 20)
