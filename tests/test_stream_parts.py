@@ -28,3 +28,23 @@ def test_null_rows_and_several_files_per_part(spark, tmp_path, monkeypatch):
     columns = ["timestamp", "symbol", "window", "avg_price", "std_price"]
     found = lambda name: sorted(str(tuple(r)) for r in queries()[name](spark, path).select(*columns).collect())
     assert found("stream_window_stats") == found("window_stats_multi")
+
+
+def test_stream_pairs_keep_ticks_not_pairs(spark, tmp_path, monkeypatch):
+    """A million pairs in a stream: same answer as in batch, and the self-join passes on a row per bucket."""
+    rows = [(i, START + datetime.timedelta(seconds=2 * (i // 2)), 1, None if i % 50 == 0 else f"s{i % 2}", float(i % 7)) for i in range(3000)]
+    path = events(spark, tmp_path, [*rows, *rows[:40], (3000, None, 1, "s1", 1.0)])
+    made = []
+    run = streams.run_to_table
+
+    def watched(df, label):
+        table = run(df, label)
+        made.append(df._jdf.queryExecution().analyzed().toString())
+        return table
+
+    monkeypatch.setattr(streams, "run_to_table", watched)
+    found = lambda name: sorted(str(tuple(r)) for r in queries()[name](spark, path).collect())
+    assert found("stream_lookahead_pairs") == found("time_to_change")
+    # Both sides are gathered before they are joined, and nothing is grouped behind the join.
+    above, below = made[0].split("Join", 1)
+    assert "Aggregate" not in above and below.count("Aggregate") == 2
