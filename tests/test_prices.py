@@ -348,3 +348,46 @@ def test_lookahead_pack_shuffles_ticks_only(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "Join" not in plan
     assert df.agg(F.sum(F.size("next"))).first()[0] == 2000 * 1999 // 2
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_ranges_become_single_pairs(spark, seed):
+    ticks = odd_ticks(spark, seed)
+    single = look.single_pairs(look.lookahead_pairs(ticks, 20, ranges=True))
+    assert texts(single) == texts(look.lookahead_pairs(ticks, 20)) and single.columns == look.lookahead_pairs(ticks, 20).columns
+
+
+def write_events(spark, path, ticks):
+    ticks.select(
+        F.col("symbol").alias("event_type"), F.col("price").alias("value"), F.col("timestamp").cast("timestamp_ntz").alias("ts"),
+        F.lit(1).cast("long").alias("event_id"), F.lit(1).cast("long").alias("user_id"),
+    ).write.parquet(f"{path}/events.parquet")
+
+
+def test_pairs_query_joins_buckets_and_shapes_ticks(spark, tmp_path):
+    """Pairs are not met one by one in a join, nor rounded and cast one by one."""
+    from __spark_entry__ import queries
+
+    write_events(spark, tmp_path, dense_ticks(spark).limit(300).withColumn("price", F.col("price") / 1000))
+    df = queries()["lookahead_pairs"](spark, str(tmp_path))
+    rows = df.collect()
+    assert len(rows) == 300 * 299 // 2
+    assert rows_made(df) == 1
+    assert all(r["base_price"] == round(r["base_price"], 6) and r["future_price"] == round(r["future_price"], 6) for r in rows)
+    assert dict(df.dtypes)["future_timestamp"] == "timestamp_ntz"
+    top = df._jdf.queryExecution().optimizedPlan().expressions().mkString()
+    assert "round" not in top and "cast" not in top
+
+
+def test_pairs_query_gives_what_the_join_gives(spark, tmp_path):
+    """Prices that are equal once they are rounded, copies, ties in time and nulls: as many rows as the join makes."""
+    from __spark_entry__ import queries
+    from tidemark.catalog.registry import flat
+
+    ticks = odd_ticks(spark, 4).withColumn("price", F.col("price") + F.rand(1) / 1e6)
+    write_events(spark, tmp_path, ticks)
+    stored = spark.read.parquet(f"{tmp_path}/events.parquet").select(
+        F.col("event_type").alias("symbol"), F.col("value").alias("price"), F.col("ts").cast("timestamp").alias("timestamp")
+    )
+    want = texts(flat(look.lookahead_pairs(stored, 3600)))
+    assert texts(queries()["lookahead_pairs"](spark, str(tmp_path))) == want and want
