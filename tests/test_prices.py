@@ -391,3 +391,28 @@ def test_pairs_query_gives_what_the_join_gives(spark, tmp_path):
     )
     want = texts(flat(look.lookahead_pairs(stored, 3600)))
     assert texts(queries()["lookahead_pairs"](spark, str(tmp_path))) == want and want
+
+
+def test_nested_pairs_send_few_ticks_twice(spark):
+    """Ticks spread over 80 buckets, before 1970 too: what is gathered is at most 1.3 times the ticks, not twice."""
+    ticks = spark.range(4000).select(
+        F.lit("A").alias("symbol"),
+        (F.col("id") % 7).cast("double").alias("price"),
+        F.timestamp_micros((F.col("id") - 2000) * 400_000).alias("timestamp"),
+    )
+    df = look.lookahead_pairs(ticks, 20, nested=True)
+    sizes = [len(r["next"]) for r in df.collect()]
+    assert len(sizes) == 3999 and sum(sizes) == 3950 * 50 + sum(range(50))
+    plan, written = [df._jdf.queryExecution().executedPlan()], 0
+    while plan:
+        node = plan.pop()
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            plan.append(node.executedPlan())
+        elif name.endswith("QueryStage"):
+            plan.append(node.plan())
+        else:
+            plan += [node.children().apply(i) for i in range(node.children().size())]
+            # The last one is the first that runs.
+            written = node.metrics().apply("numOutputRows").value() if name == "Generate" else written
+    assert 4000 <= written <= 1.3 * 4000
